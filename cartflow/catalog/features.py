@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cartflow.catalog.registry import query
 from cartflow.operators import features as f
+from cartflow.operators.models import sized_for_fits
 from cartflow.plans.training import add_category_levels, carted_items, training_table
 from cartflow.sources import tables as t
 
@@ -45,9 +46,9 @@ def alphabetical_codes(spark, sf):
 
 
 @query("p4_shared_codes_train_and_test", t.with_views("""
-, both AS (SELECT coalesce(p_emaildomain, 'nan') AS v FROM transactions
+, shared AS (SELECT coalesce(p_emaildomain, 'nan') AS v FROM transactions
            UNION ALL SELECT coalesce(device_info, 'nan') FROM identity_info),
-m AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT v FROM both))
+m AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT v FROM shared))
 SELECT transaction_id, code AS domain_code FROM transactions JOIN m ON v = coalesce(p_emaildomain, 'nan')""",
                                                       "transactions", "identity_info"))
 def shared_codes(spark, sf):
@@ -97,7 +98,7 @@ def scaled(spark, sf):
 
 @query("p8_feature_stages")
 def feature_stages(spark, sf):
-    table = f.with_label(training_table(t.behavior(spark, sf)))
+    table = sized_for_fits(f.with_label(training_table(t.behavior(spark, sf), keep=["event_id"])), "event_id")
     fitted = f.fit_features(table)
     size = F.size(vector_to_array("features"))
     return fitted.transform(table).groupBy("label", size.alias("features_size")).agg(

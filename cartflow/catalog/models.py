@@ -56,14 +56,13 @@ def balanced_boosted_trees(spark, sf):
     coded = f.index_values(balanced, f.value_codes([balanced], texts), texts, suffix="_code")
     columns = ["brand_code", "price", "event_weekday_code", "category_code_level1_code",
                "category_code_level2_code", "activity_count"]
-    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(
-        f.with_label(coded).select("event_id", "label", *columns))
-    train, test = (part.persist() for part in random_split(vectors, [0.7, 0.3], "event_id", 0))
+    vectors = m.sized_for_fits(VectorAssembler(inputCols=columns, outputCol="features").transform(
+        f.with_label(coded)).select("event_id", "label", "features"), "event_id")
+    train, test = random_split(vectors, [0.7, 0.3], "event_id", 0)
     try:
-        row = _metrics(m.boosted_trees_fast().fit(train).transform(test)).first()
+        row = _metrics(m.boosted_trees_fast(maxIter=30).fit(train).transform(test)).first()
     finally:
-        train.unpersist()
-        test.unpersist()
+        vectors.unpersist()
     return spark.createDataFrame([row], "accuracy double, precision double, recall double, fbeta double")
 
 
@@ -74,14 +73,14 @@ def _transaction_vectors(spark, sf):
     table, names = transaction_table(train, test)
     vectors = VectorAssembler(inputCols=names, outputCol="features").transform(
         f.with_label(table, "is_fraud"))
-    return vectors.select("transaction_id", "fold", "label", "features").persist()
+    return m.sized_for_fits(vectors.select("transaction_id", "fold", "label", "features"), "transaction_id")
 
 
 @query("m8_tuned_boosted_trees")
 def tuned_boosted_trees(spark, sf):
     vectors = _transaction_vectors(spark, sf)
     train, held = vectors.where(F.col("fold") != 4), vectors.where(F.col("fold") == 4)
-    model = m.boosted_trees_tuned().fit(train)
+    model = m.boosted_trees_tuned(maxIter=20).fit(train)
     row = m.measures(model.transform(held)).first()
     vectors.unpersist()
     return m.leaderboard(spark, [(row["accuracy"], row["area_roc"], "GBT tuned")])

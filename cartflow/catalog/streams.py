@@ -15,10 +15,15 @@ from cartflow.streaming import replay, sink, stream
 CHUNK_ROWS = 1000
 
 
+def event_stream(spark, sf):
+    """The raw event table as a stream. The braces make the path a pattern, so the table may
+    be one file or a folder of files."""
+    return stream.file_stream(spark, f"{sf}/{{events}}.parquet", t.table(spark, sf, "events").schema)
+
+
 def shop_stream(spark, sf):
-    """The raw event table as a stream, turned into shop events row by row."""
-    raw = stream.file_stream(spark, f"{sf}/events.parquet", t.table(spark, sf, "events").schema)
-    return t.shop_events(raw, t.table(spark, sf, "part"))
+    """The same, turned into shop events row by row."""
+    return t.shop_events(event_stream(spark, sf), t.table(spark, sf, "part"))
 
 
 def _run(df, mode="update"):
@@ -39,8 +44,7 @@ def replay_chunks(spark, sf):
 
 @query("s2_stream_source", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_source(spark, sf):
-    raw = stream.file_stream(spark, f"{sf}/events.parquet", t.table(spark, sf, "events").schema)
-    return sink.appended(spark, _run(raw, "append"))
+    return sink.appended(spark, _run(event_stream(spark, sf), "append"))
 
 
 @query("s3_payload_transformer", t.with_views("""

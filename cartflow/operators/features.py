@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartflow.operators.explore import long_form
-from cartflow.plans.lookup import lookup_join
+from cartflow.plans.lookup import BROADCAST_ROWS
 from cartflow.plans.ordered import positions
+from cartflow.session import materialise
 
 # The columns the purchase models are trained on.
 CATEGORICAL = ["category_id_id1", "brand_f", "category_code_level1_f", "category_code_level2_f"]
@@ -43,8 +44,14 @@ def value_codes(frames: list[DataFrame], columns: list[str], by: str = "alphabet
 
 
 def index_values(df: DataFrame, codes: DataFrame, columns: list[str], suffix: str = "_index",
-                 null_text: str | None = None) -> DataFrame:
-    """Add each column's code from a ``value_codes`` mapping; unknown values stay null."""
+                 null_text: str | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Add each column's code from a ``value_codes`` mapping; unknown values stay null.
+
+    The mapping is computed and counted once for all columns; a column whose part is
+    larger than ``max_rows`` is joined by shuffle instead of broadcast.
+    """
+    codes = materialise(codes)
+    sizes = {r["column_name"]: r["count"] for r in codes.groupBy("column_name").count().collect()}
     out = df
     for c in columns:
         text = F.col(c).cast("string")
@@ -52,7 +59,8 @@ def index_values(df: DataFrame, codes: DataFrame, columns: list[str], suffix: st
             F.col("value").alias("_value"), F.col("code").alias(f"{c}{suffix}"))
         keyed = out.withColumn("_value", text if null_text is None
                                else F.coalesce(text, F.lit(null_text)))
-        out = lookup_join(keyed, one, ["_value"]).drop("_value")
+        small = sizes.get(c, 0) <= max_rows
+        out = keyed.join(F.broadcast(one) if small else one, "_value", "left").drop("_value")
     return out
 
 

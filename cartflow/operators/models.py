@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, NaiveBayes, RandomForestClassifier)
@@ -22,6 +24,9 @@ from cartflow.schemas import LEADERBOARD
 
 FOLDS = 5
 
+# A fit runs hundreds of short jobs, so each of its tasks should have this many rows to work on.
+ROWS_PER_TASK = 200_000
+
 
 def logistic_regression(**params) -> LogisticRegression:
     return LogisticRegression(**{"maxIter": 5, "family": "binomial", **params})
@@ -49,8 +54,8 @@ def naive_bayes(**params) -> NaiveBayes:
 
 
 def boosted_trees_fast(**params) -> GBTClassifier:
-    """Boosted trees with a learning rate of 0.1."""
-    return GBTClassifier(**{"stepSize": 0.1, **params})
+    """A hundred boosted trees of depth six with a learning rate of 0.1."""
+    return GBTClassifier(**{"stepSize": 0.1, "maxIter": 100, "maxDepth": 6, **params})
 
 
 def boosted_trees_tuned(**params) -> GBTClassifier:
@@ -60,7 +65,7 @@ def boosted_trees_tuned(**params) -> GBTClassifier:
     room for the 491 leaves.
     """
     return GBTClassifier(**{
-        "stepSize": 0.006883242363721497, "maxDepth": 9, "minInstancesPerNode": 106,
+        "stepSize": 0.006883242363721497, "maxIter": 100, "maxDepth": 9, "minInstancesPerNode": 106,
         "subsamplingRate": 0.4181193142567742, "featureSubsetStrategy": "0.3797454081646243",
         "seed": 47, **params})
 
@@ -73,6 +78,20 @@ MODELS = {
 TREES = {"DT", "GBT", "RF"}
 
 
+def sized_for_fits(df: DataFrame, key: str) -> DataFrame:
+    """The same rows, persisted, in few enough partitions and in a fixed order.
+
+    Bootstraps draw by partition and row order, so a fixed order makes a fit repeatable.
+    """
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    parts = max(1, source.count() // ROWS_PER_TASK)
+    sized = (source.repartition(parts, key).sortWithinPartitions(key)
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    sized.count()
+    source.unpersist()
+    return sized
+
+
 @dataclass
 class Prepared:
     """Feature stages and the transformed parts, persisted because every model reads them."""
@@ -80,6 +99,7 @@ class Prepared:
     features: PipelineModel
     train: DataFrame
     test: DataFrame
+    source: DataFrame
 
     @property
     def max_bins(self) -> int:
@@ -87,19 +107,20 @@ class Prepared:
         return max(32, largest_category(self.features))
 
     def release(self) -> None:
-        self.train.unpersist()
-        self.test.unpersist()
+        for part in (self.train, self.test, self.source):
+            part.unpersist()
 
 
 def prepare(table: DataFrame, key: str, weights: tuple[float, float] = (0.8, 0.2), seed: int = 7,
             fit_on_everything: bool = False, **columns: list[str]) -> Prepared:
     """Split, fit the feature stages (on the training part by default) and transform."""
-    labelled = with_label(table)
+    # Every feature stage reads the table again, so it is built once.
+    labelled = sized_for_fits(with_label(table), key)
     train, test = random_split(labelled, list(weights), key, seed)
     features = fit_features(train, labelled if fit_on_everything else None, **columns)
     parts = [features.transform(p).select(key, "features", "label")
              .persist(StorageLevel.MEMORY_AND_DISK) for p in (train, test)]
-    return Prepared(features, *parts)
+    return Prepared(features, *parts, labelled)
 
 
 def estimator(name: str, max_bins: int = 32, **params) -> Estimator:
@@ -172,7 +193,7 @@ def cross_validate(model: Estimator, choices: dict[str, list], train: DataFrame,
 
 def grid_results(spark: SparkSession, found: CrossValidatorModel) -> DataFrame:
     """One row per grid point: its settings and mean area under the curve."""
-    rows = [(", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda i: i[0].name)), a)
+    rows = [(", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda i: i[0].name)), float(a))
             for m, a in zip(found.getEstimatorParamMaps(), found.avgMetrics)]
     return spark.createDataFrame(rows, "settings string, area_roc double")
 
@@ -197,50 +218,50 @@ def save_model(model: PipelineModel | Model, path: str) -> None:
 
 
 def eliminate_features(df: DataFrame, model: Estimator, fold_column: str, folds: int = FOLDS,
-                       step: int = 40, features: str = "features") -> tuple[DataFrame, DataFrame]:
+                       step: int = 40, features: str = "features",
+                       parallelism: int = FOLDS) -> tuple[DataFrame, DataFrame]:
     """Recursive feature elimination with cross-validation.
 
     In every fold: fit, score the held-out rows, drop the ``step`` least important
     features, repeat down to one. The feature count with the best mean score is then
-    reached once more on all rows. Returns ``(n_features, area_roc)`` and
-    ``(feature, rank)``, where rank 1 means kept.
+    reached once more on all rows. Folds run side by side, ``parallelism`` at a time.
+    Returns ``(n_features, area_roc)`` and ``(feature, rank)``, where rank 1 means kept.
     """
     names = feature_names(df, features)
     evaluator = BinaryClassificationEvaluator(numBins=0)
-    plan = [len(names)]
-    while plan[-1] > 1:
-        plan.append(max(1, plan[-1] - step))
+    sizes = [len(names)]
+    while sizes[-1] > 1:
+        sizes.append(max(1, sizes[-1] - step))
 
     def fit(train: DataFrame, kept: list[int]):
         slicer = VectorSlicer(inputCol=features, outputCol="_kept", indices=kept)
-        fitted = model.copy({model.featuresCol: "_kept"}).fit(slicer.transform(train))
-        return slicer, fitted
+        return slicer, model.copy({model.featuresCol: "_kept"}).fit(slicer.transform(train))
 
-    def shrink(kept: list[int], fitted, size: int) -> list[int]:
+    def strongest(kept: list[int], fitted, size: int) -> list[int]:
         gains = fitted.featureImportances.toArray()
-        best = sorted(range(len(kept)), key=lambda i: (-gains[i], i))[:size]
-        return sorted(kept[i] for i in best)
+        return sorted(kept[i] for i in sorted(range(len(kept)), key=lambda i: (-gains[i], i))[:size])
 
-    totals = dict.fromkeys(plan, 0.0)
-    for fold in range(folds):
+    def fold_scores(fold: int) -> list[float]:
         train, held = (df.where(F.col(fold_column) != fold), df.where(F.col(fold_column) == fold))
-        kept = list(range(len(names)))
-        for i, size in enumerate(plan):
+        kept, scores = list(range(len(names))), []
+        for i, _ in enumerate(sizes):
             slicer, fitted = fit(train, kept)
-            totals[size] += evaluator.evaluate(fitted.transform(slicer.transform(held))) / folds
-            if i + 1 < len(plan):
-                kept = shrink(kept, fitted, plan[i + 1])
-    best = max(plan, key=lambda n: (totals[n], -n))
+            scores.append(float(evaluator.evaluate(fitted.transform(slicer.transform(held)))))
+            kept = strongest(kept, fitted, sizes[i + 1]) if i + 1 < len(sizes) else kept
+        return scores
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        per_fold = list(pool.map(inheritable_thread_target(df.sparkSession)(fold_scores), range(folds)))
+    means = [sum(column) / folds for column in zip(*per_fold)]
+    best = max(range(len(sizes)), key=lambda i: (means[i], -sizes[i]))
 
     kept, rank = list(range(len(names))), {}
-    sizes = plan[:plan.index(best) + 1]
-    for i, size in enumerate(sizes[1:], start=1):
-        _, fitted = fit(df, kept)
-        smaller = shrink(kept, fitted, size)
-        rank.update({n: len(sizes) - i + 1 for n in set(kept) - set(smaller)})
+    for i in range(1, best + 1):
+        smaller = strongest(kept, fit(df, kept)[1], sizes[i])
+        rank.update({n: best - i + 2 for n in set(kept) - set(smaller)})
         kept = smaller
     rank.update({n: 1 for n in kept})
     spark = df.sparkSession
-    return (spark.createDataFrame(list(totals.items()), "n_features int, area_roc double"),
-            spark.createDataFrame([(names[i], r) for i, r in rank.items()],
+    return (spark.createDataFrame(list(zip(sizes, means)), "n_features int, area_roc double"),
+            spark.createDataFrame([(names[i], r) for i, r in sorted(rank.items())],
                                   "feature string, rank int"))

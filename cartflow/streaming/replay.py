@@ -38,4 +38,5 @@ def publish(staged: DataFrame, target: str) -> Iterator[int]:
 
 def to_payload(df: DataFrame) -> DataFrame:
     """One JSON text per event, keyed by session, as a topic would carry it."""
-    return df.select(F.col("user_session").alias("key"), F.to_json(F.struct("*")).alias("value"))
+    stamp = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    return df.select(F.col("user_session").alias("key"), F.to_json(F.struct("*"), stamp).alias("value"))
