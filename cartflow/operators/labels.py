@@ -60,13 +60,11 @@ def activity_in_session(df: DataFrame) -> DataFrame:
 def activity_of_active_users(df: DataFrame) -> DataFrame:
     """Events per session, counting active users only.
 
-    Rows are first reduced to one per (session, user); finding the active users and the
-    semi join then run on that, not on the events.
+    Rows are first reduced to one per (session, user), and the semi join runs on that, not
+    on the events.
     """
-    per_user = df.groupBy("user_session", "user_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max(F.col("event_type").isin(TARGET_TYPES)).alias("is_active"))
-    users = per_user.where("is_active").select("user_id").distinct()
+    per_user = df.groupBy("user_session", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    users = targets(df).select("user_id").distinct()
     return (per_user.join(users, "user_id", "left_semi")
             .groupBy("user_session").agg(F.sum("n").alias("activity_count")))
 

@@ -4,22 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cartflow.schemas import EVENTS, TIMES_DOCUMENT
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType = EVENTS,
+def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType | str = EVENTS,
              drop_malformed: bool = False, **options: str) -> DataFrame:
     """Scan one or several CSV files with a header and a declared schema.
 
-    ``drop_malformed`` leaves out rows that do not fit the schema; column pruning is then
-    switched off for the scan, since a pruned column is never checked.
+    ``drop_malformed`` leaves out rows with a wrong number of fields or a field that does
+    not fit its type. The reader itself checks only the columns a query asks for, so the
+    fields are read as text and the check is a filter of its own: the same rows are
+    dropped whatever is selected afterwards.
     """
-    reader = spark.read.schema(schema).option("header", True)
-    if drop_malformed:
-        reader = reader.option("mode", "DROPMALFORMED").option("columnPruning", False)
-    return reader.options(**options).csv(paths)
+    reader = spark.read.option("header", True).options(**options)
+    if not drop_malformed:
+        return reader.schema(schema).csv(paths)
+    fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    text = (reader.schema(StructType([StructField(f.name, StringType()) for f in fields]))
+            .option("mode", "DROPMALFORMED").option("columnPruning", False).csv(paths))
+    fits = F.lit(True)
+    for f in fields:
+        fits &= F.col(f.name).isNull() | F.col(f.name).try_cast(f.dataType).isNotNull()
+    return text.where(fits).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
