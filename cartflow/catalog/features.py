@@ -5,6 +5,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cartflow.catalog.registry import query
+from cartflow.catalog.training import STEPS
 from cartflow.operators import features as f
 from cartflow.operators.models import sized_for_fits
 from cartflow.plans.training import add_category_levels, carted_items, training_table
@@ -96,12 +97,16 @@ def scaled(spark, sf):
         "event_id", F.round("price_scaled", 6).alias("price_scaled"))
 
 
-@query("p8_feature_stages")
+@query("p8_feature_stages", t.with_views(f"""{STEPS}
+SELECT CAST(bought AS DOUBLE) AS label, count(*) AS n,
+       CAST(max(max(dayofweek(event_time) + 1)) OVER () + max(max(extract(day FROM event_time))) OVER ()
+            + max(max(extract(hour FROM event_time))) OVER () + 9 AS BIGINT) AS features_size
+FROM c GROUP BY bought""", "behavior"))
 def feature_stages(spark, sf):
     table = sized_for_fits(f.with_label(training_table(t.behavior(spark, sf), keep=["event_id"])), "event_id")
     fitted = f.fit_features(table)
     size = F.size(vector_to_array("features"))
-    return fitted.transform(table).groupBy("label", size.alias("features_size")).agg(
+    return fitted.transform(table).groupBy("label", size.cast("bigint").alias("features_size")).agg(
         F.count(F.lit(1)).alias("n"))
 
 

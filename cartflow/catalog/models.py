@@ -5,6 +5,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from cartflow.catalog.registry import query
+from cartflow.catalog.training import STEPS
 from cartflow.operators import evaluation as e
 from cartflow.operators import features as f
 from cartflow.operators import models as m
@@ -129,7 +130,8 @@ def feature_importance(spark, sf):
         data.release()
 
 
-@query("m13_save_and_reload")
+@query("m13_save_and_reload", t.with_views(
+    f"{STEPS} SELECT count(*) AS n, count(*) AS same FROM c", "behavior"))
 def save_and_reload(spark, sf):
     data, path = prepared(spark, sf), work_folder(spark, "model")
     try:

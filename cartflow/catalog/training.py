@@ -10,7 +10,7 @@ from cartflow.plans.training import (TRAINING_COLUMNS, add_item_columns, carted_
 from cartflow.sources import tables as t
 
 # The oracle follows the steps one by one, as they were first written down.
-_STEPS = DEDUP.replace("FROM behavior WHERE", f"FROM behavior WHERE {ACTIVE} AND") + f"""
+STEPS = DEDUP.replace("FROM behavior WHERE", f"FROM behavior WHERE {ACTIVE} AND") + f"""
 , m AS (SELECT user_session, product_id, max(is_purchased) AS bought FROM d GROUP BY 1, 2),
 c AS (SELECT * FROM (
   SELECT d.*, m.bought, row_number() OVER (PARTITION BY d.user_session, d.product_id, m.bought
@@ -39,14 +39,14 @@ def _wide(df):
     return df.withColumns({c: F.col(c).cast("bigint") for c in _SMALL if c in df.columns})
 
 
-@query("p10_training_table", t.with_views(f"""{_STEPS}
+@query("p10_training_table", t.with_views(f"""{STEPS}
 SELECT {_PARTS}, price, coalesce(activity_count, 0) AS activity_count, bought AS is_purchased
 FROM c LEFT JOIN act ON c.user_session = act.user_session""", "behavior"))
 def table(spark, sf):
     return _wide(training_table(t.behavior(spark, sf)))
 
 
-@query("p10_step_carted_items", t.with_views(f"""{_STEPS}
+@query("p10_step_carted_items", t.with_views(f"""{STEPS}
 SELECT event_id, event_time, event_type, product_id, category_id, category_code, brand, price, user_id,
        user_session, bought AS is_purchased FROM c""", "behavior"))
 def step_carted_items(spark, sf):

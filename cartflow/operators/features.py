@@ -47,21 +47,22 @@ def index_values(df: DataFrame, codes: DataFrame, columns: list[str], suffix: st
                  null_text: str | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add each column's code from a ``value_codes`` mapping; unknown values stay null.
 
-    The mapping is computed and counted once for all columns; a column whose part is
-    larger than ``max_rows`` is joined by shuffle instead of broadcast.
+    The mapping is computed and counted once for all columns. The smallest parts are
+    broadcast, up to ``max_rows`` rows in total; a column beyond that is joined by shuffle.
     """
     codes = materialise(codes)
     sizes = {r["column_name"]: r["count"] for r in codes.groupBy("column_name").count().collect()}
-    out = df
-    for c in columns:
+    out, left = df, max_rows
+    for c in sorted(columns, key=lambda name: sizes.get(name, 0)):
         text = F.col(c).cast("string")
         one = codes.where(F.col("column_name") == c).select(
             F.col("value").alias("_value"), F.col("code").alias(f"{c}{suffix}"))
         keyed = out.withColumn("_value", text if null_text is None
                                else F.coalesce(text, F.lit(null_text)))
-        small = sizes.get(c, 0) <= max_rows
+        left -= sizes.get(c, 0)
+        small = left >= 0
         out = keyed.join(F.broadcast(one) if small else one, "_value", "left").drop("_value")
-    return out
+    return out.select(*df.columns, *[f"{c}{suffix}" for c in columns])
 
 
 def scale_to_unit_deviation(df: DataFrame, columns: list[str], suffix: str = "_scaled") -> DataFrame:

@@ -25,7 +25,9 @@ def counter_rate(df: DataFrame, window_seconds: int = 300, series: list[str] = S
     A value below the one before is a restart and counts in full; the first sample of a
     series counts 0; the window's edges are not extrapolated. A series is handled in
     chunks of time: each chunk is told the last value before it and is given the tail of
-    the chunk before it, so one long series is spread over many tasks.
+    the chunk before it, so one long series is spread over many tasks. The trailing sum
+    is a running sum of increases entering and leaving, so its cost per sample does not
+    depend on how many samples the window holds.
     """
     chunk, span = chunk_seconds * MICROS, window_seconds * MICROS
     if chunk < span:
@@ -39,14 +41,21 @@ def counter_rate(df: DataFrame, window_seconds: int = 300, series: list[str] = S
     grown = samples.join(carried, [*series, "_chunk"]).withColumn(
         "_increase", F.when(before.isNull(), 0.0).when(F.col("value") < before, F.col("value"))
         .otherwise(F.col("value") - before))
-    tail = F.col("_m") + span >= (F.col("_chunk") + 1) * chunk
+    # Every increase enters the sum at its time and leaves it just after one window. The
+    # entry is repeated in the next chunk when the leaving falls there.
     home = F.col("_chunk")
-    copies = F.when(tail, F.array(home, home + 1)).otherwise(F.array(home))
+    leaves_later = F.col("_m") + span >= (home + 1) * chunk
+    reach = F.when(leaves_later, F.array(home, home + 1)).otherwise(F.array(home))
     spread = grown.select(*df.columns, "_m", "_increase", home.alias("_home"),
-                          F.explode(copies).alias("_chunk"))
-    trailing = Window.partitionBy(*series, "_chunk").orderBy("_m").rangeBetween(-span, 0)
-    return (spread.withColumn("rate", F.sum("_increase").over(trailing) / window_seconds)
-            .where(F.col("_home") == F.col("_chunk")).select(*df.columns, "rate"))
+                          F.explode(reach).alias("_chunk")).repartition(*series, "_chunk")
+    enter = F.struct(F.col("_m").alias("at"), F.lit(0).alias("side"), F.col("_increase").alias("by"))
+    leave = F.struct((F.col("_m") + span).alias("at"), F.lit(1).alias("side"), (-F.col("_increase")).alias("by"))
+    moves = spread.select("*", F.explode(F.array(enter, leave)).alias("_move"))
+    so_far = (Window.partitionBy(*series, "_chunk").orderBy("_move.at", "_move.side")
+              .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    return (moves.withColumn("rate", F.sum("_move.by").over(so_far) / window_seconds)
+            .where((F.col("_move.side") == 0) & (F.col("_home") == F.col("_chunk")))
+            .select(*df.columns, "rate"))
 
 
 def sum_without(df: DataFrame, value: str, dropped: list[str], labels: list[str] = SERIES,

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from cartflow.plans.ordered import positions
 
 PRODUCTS = 20
 
@@ -102,11 +103,12 @@ def times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters that restart every 50 samples of a series."""
-    series = Window.partitionBy("event_type", F.col("user_id") % 2).orderBy("ts", "event_id")
-    return table(spark, sf_dir, "events").select(
-        "ts", F.lit("messages_in").alias("metric"), F.col("event_type").alias("topic"),
-        (F.col("user_id") % 2).alias("instance"),
-        (F.row_number().over(series) % 50).cast("double").alias("value"))
+    samples = table(spark, sf_dir, "events").select(
+        "ts", "event_id", F.lit("messages_in").alias("metric"), F.col("event_type").alias("topic"),
+        (F.col("user_id") % 2).alias("instance"))
+    numbered = positions(samples, ["ts", "event_id"], "_n", group=["topic", "instance"])
+    return numbered.select("ts", "metric", "topic", "instance",
+                           (F.col("_n") % 50).cast("double").alias("value"))
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
