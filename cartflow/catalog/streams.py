@@ -13,12 +13,14 @@ from cartflow.sources.collections import Collections
 from cartflow.streaming import replay, sink, stream
 
 CHUNK_ROWS = 1000
+FILES_PER_TRIGGER = 1000
 
 
 def event_stream(spark, sf):
     """The raw event table as a stream. The braces make the path a pattern, so the table may
     be one file or a folder of files."""
-    return stream.file_stream(spark, f"{sf}/{{events}}.parquet", t.table(spark, sf, "events").schema)
+    return stream.file_stream(spark, f"{sf}/{{events}}.parquet", t.table(spark, sf, "events").schema,
+                              files_per_trigger=FILES_PER_TRIGGER)
 
 
 def shop_stream(spark, sf):

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartflow.plans.ordered import positions
+from cartflow.session import materialise
 
 PRODUCTS = 20
 
@@ -102,13 +103,13 @@ def times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counters that restart every 50 samples of a series."""
+    """Counters that restart every 50 samples of a series; stored, as samples would be."""
     samples = table(spark, sf_dir, "events").select(
         "ts", "event_id", F.lit("messages_in").alias("metric"), F.col("event_type").alias("topic"),
         (F.col("user_id") % 2).alias("instance"))
     numbered = positions(samples, ["ts", "event_id"], "_n", group=["topic", "instance"])
-    return numbered.select("ts", "metric", "topic", "instance",
-                           (F.col("_n") % 50).cast("double").alias("value"))
+    return materialise(numbered.select("ts", "metric", "topic", "instance",
+                                       (F.col("_n") % 50).cast("double").alias("value")))
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
