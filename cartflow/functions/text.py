@@ -80,13 +80,3 @@ def email_suffix(column: Column) -> Column:
     """Last piece of an e-mail domain, with the US endings folded into ``us``."""
     suffix = last_piece(column, ".")
     return F.when(suffix.isin(US_SUFFIXES), "us").otherwise(suffix)
-
-
-def hash_bits(key: str | Column, seed: int) -> Column:
-    """A repeatable pseudo-random number in [0, 2**32) for a key and a seed.
-
-    Cut from an MD5 digest, so another engine can work it out from the same key.
-    """
-    key = F.col(key) if isinstance(key, str) else key
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")

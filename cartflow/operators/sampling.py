@@ -9,24 +9,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartflow.functions.text import hash_bits
+from cartflow.functions.numeric import HASH_PRIME, hash_number
 from cartflow.plans.lookup import lookup_join
 from cartflow.plans.ordered import positions
 
-HASH_RANGE = 2 ** 32
-BUCKETS = 2 ** 16
+
+# Hashes are counted in this many low-order steps, which makes 65,536 buckets.
+BUCKET_BITS = 15
+
+
+def hash_edge(share: float) -> int:
+    """The hash below which about ``share`` of all keys lie."""
+    return round(share * HASH_PRIME)
 
 
 def sample_per_class(df: DataFrame, label: str, n: int, key: str, seed: int = 27) -> DataFrame:
-    """Exactly ``n`` rows of every class, without replacement; ``key`` must be unique.
+    """Exactly ``n`` rows of every class, without replacement; ``key`` is a unique whole number.
 
     Takes the ``n`` smallest hashes. Counting hashes in 65,536 buckets finds the bucket
     where the ``n``-th lies: rows in lower buckets are taken by a filter, and only that
     one bucket of each class is ranked. Ranking whole classes would use one task each.
     """
-    width = HASH_RANGE // BUCKETS
-    hashed = df.withColumn("_h", hash_bits(key, seed)).withColumn(
-        "_bucket", F.floor(F.col("_h") / width))
+    hashed = df.withColumn("_h", hash_number(key, seed)).withColumn(
+        "_bucket", F.shiftright("_h", BUCKET_BITS))
     sizes = hashed.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.partitionBy(label).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -65,14 +70,16 @@ def oversample_minority(df: DataFrame, label: str) -> DataFrame:
 def with_part(df: DataFrame, weights: dict[str, float], key: str, seed: int,
               name: str = "part") -> DataFrame:
     """Name the split part of each row; weights are normalised and no shuffle is needed."""
-    total = sum(weights.values())
-    bits, edge, result = hash_bits(key, seed), 0.0, None
+    total, bits, reached = sum(weights.values()), hash_number(key, seed), 0.0
     *parts, last = weights
+    choice = F.lit(last)
+    edges = []
     for part in parts:
-        edge += weights[part] / total
-        condition = bits < int(edge * HASH_RANGE)
-        result = F.when(condition, part) if result is None else result.when(condition, part)
-    return df.withColumn(name, F.lit(last) if result is None else result.otherwise(last))
+        reached += weights[part] / total
+        edges.append((part, hash_edge(reached)))
+    for part, edge in reversed(edges):
+        choice = F.when(bits < edge, part).otherwise(choice)
+    return df.withColumn(name, choice)
 
 
 def random_split(df: DataFrame, weights: list[float], key: str, seed: int) -> list[DataFrame]:
@@ -83,7 +90,8 @@ def random_split(df: DataFrame, weights: list[float], key: str, seed: int) -> li
 
 def random_folds(df: DataFrame, k: int, key: str, seed: int, name: str = "fold") -> DataFrame:
     """Fold number 0 .. k-1 by hash."""
-    return df.withColumn(name, (hash_bits(key, seed) % k).cast("int"))
+    named = with_part(df, {str(i): 1 / k for i in range(k)}, key, seed, name)
+    return named.withColumn(name, F.col(name).cast("int"))
 
 
 def contiguous_folds(df: DataFrame, k: int, order: list[str | Column], name: str = "fold",

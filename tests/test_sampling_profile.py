@@ -110,3 +110,15 @@ def test_codes(spark, max_rows):
 def test_too_many_values_for_a_driver_index(rows):
     with pytest.raises(ValueError, match="too many values"):
         f.check_cardinality(rows, ["id"], limit=100)
+
+
+def test_hash_spreads_and_repeats(spark):
+    from cartflow.functions.numeric import HASH_PRIME, hash_number
+
+    keys = spark.range(20000).select(hash_number("id", 1).alias("a"), hash_number("id", 2).alias("b"),
+                                     hash_number(F.col("id") * 10 ** 12 - 7, 1).alias("c"))
+    row = keys.agg(*[F.count_distinct(c).alias(c) for c in "abc"], F.min("a").alias("lo"), F.max("a").alias("hi"),
+                   F.corr("a", "b").alias("corr"), F.avg("c").alias("mean")).first()
+    assert row.a == row.b == 20000 and row.c > 19990
+    assert 0 <= row.lo < row.hi < HASH_PRIME
+    assert abs(row["corr"]) < 0.03 and abs(row["mean"] / HASH_PRIME - 0.5) < 0.02
