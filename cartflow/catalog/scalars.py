@@ -56,6 +56,28 @@ def time_parts(spark, sf):
         F.dayofmonth("event_time").cast("bigint").alias("dt_day"))
 
 
+@query("h6_weekday_as_text", t.with_views("""
+SELECT event_id, CAST(isodow(event_time) - 1 AS VARCHAR) AS event_weekday FROM behavior""", "behavior"))
+def weekday_text(spark, sf):
+    return t.behavior(spark, sf).select("event_id", weekday_monday_first_text("event_time").alias("event_weekday"))
+
+
+@query("h7_events_per_hour", t.with_views("""
+SELECT CAST(extract(hour FROM event_time) AS BIGINT) AS dt_hour, count(*) AS n FROM behavior GROUP BY 1""",
+                                          "behavior"))
+def events_per_hour(spark, sf):
+    return (t.behavior(spark, sf).groupBy(F.hour("event_time").cast("bigint").alias("dt_hour"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("h8_events_per_day_of_month", t.with_views("""
+SELECT CAST(extract(day FROM event_time) AS BIGINT) AS dt_day, count(*) AS n FROM behavior GROUP BY 1""",
+                                                  "behavior"))
+def events_per_day_of_month(spark, sf):
+    return (t.behavior(spark, sf).groupBy(F.dayofmonth("event_time").cast("bigint").alias("dt_day"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 @query("h9_contains", t.with_views("""
 SELECT transaction_id, contains(device_info, 'Moto') AS upper_case, contains(device_info, 'moto') AS lower_case
 FROM identity_info""", "identity_info"))
