@@ -75,5 +75,9 @@ def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped because the watermark had passed them (counted after partial aggregation)."""
+    """Rows dropped because the watermark had passed them (counted after partial aggregation).
+
+    Covers the progress reports the query still holds
+    (``spark.sql.streaming.numRecentProgressUpdates``, 100 by default).
+    """
     return sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)

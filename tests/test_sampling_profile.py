@@ -69,6 +69,11 @@ def test_useless_columns(wide):
     assert exact == {"empty", "leading", "same", "sparse"}
 
 
+def test_limit_too_low_for_the_sketch(wide):
+    with pytest.raises(ValueError, match="at least 0.6"):
+        p.dominant_values(wide, limit=0.5)
+
+
 def test_dominant_share_is_exact(wide):
     rows = {r["column_name"]: r["top_ratio"] for r in p.dominant_values(wide).collect()}
     assert rows["leading"] == 0.95 and rows["sparse"] == 0.95 and rows["mixed"] is None
