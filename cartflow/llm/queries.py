@@ -6,8 +6,9 @@ import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cartflow.llm import exact_dedup, mixing
+from cartflow.llm import exact_dedup, mixing, near_dedup, piece_codec
 from cartflow.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +69,15 @@ WITH RECURSIVE {mixture_sql('documents', 'doc_id, text, lang, source, n_chars')}
 SELECT doc_id, text, lang, source, n_chars, copy, position FROM mixture""")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.poisson_mixture(documents(spark, sf_dir))
+
+
+@query("op1_minhash_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op3_sentencepiece")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = piece_codec.encode(documents(spark, sf_dir))
+    return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), "score",
+                          F.col("n_best.score").alias("n_best_scores"), "round_trip")
