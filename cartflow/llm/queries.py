@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartflow.llm import exact_dedup, mixing, near_dedup, piece_codec
-from cartflow.llm.common import documents
+from cartflow.llm import (exact_dedup, line_rules, log_bilinear, mixing, near_dedup, pii, piece_codec, quality,
+                          secret_scan, toxicity)
+from cartflow.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +82,40 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = piece_codec.encode(documents(spark, sf_dir))
     return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), "score",
                           F.col("n_best.score").alias("n_best_scores"), "round_trip")
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.judge(docs, labels(spark, sf_dir), "source", F.concat_ws("/", "source", "lang"))
+
+
+@query("op6_pii")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", pii.all_spans().alias("spans"))
+
+
+@query("op7_quality_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judge_lines(documents(spark, sf_dir))
+
+
+@query("op8_lm_scoring")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_bilinear.score(documents(spark, sf_dir))
+
+
+@query("op9_secret_scans")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return secret_scan.find(docs, secret_scan.train(docs))
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train(docs, labels(spark, sf_dir))).select(
+        "doc_id", "held_out", "score", "predicted",
+        F.concat_ws(",", F.transform("sentences", lambda s: F.concat(
+            s["start"].cast("string"), F.lit(":"), s["end"].cast("string")))).alias("toxic_sentences"))
