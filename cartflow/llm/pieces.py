@@ -56,6 +56,8 @@ class Vocabulary:
             rank[np.lexsort((ids, -scores))] = np.arange(1, len(scores) + 1)
             scores = -np.log(rank + 2.7)
             scores -= np.log(np.exp(scores).sum())
+        # Multiples of 2^-20 add up without rounding, so that equal paths have equal bounds in the search.
+        scores = np.round(scores * (1 << 20)) / (1 << 20)
         self.unknown = float(scores.min() - 10)
         self.longest = max(map(len, points))
         keys = np.array([_point_hash(np.array(p, np.uint64)) for p in points], np.uint64)
@@ -285,7 +287,8 @@ def a_star(lattices: list, forward: list[list[float]], n: int) -> list[tuple[flo
     order of the best whole path they belong to, and the first n whole ones are the n best.
     """
     before = list(itertools.accumulate((f[-1] for f in forward), initial=0.0))
-    ticket = itertools.count()
+    # Of equal bounds the latest goes on, so a plateau of equal paths is not searched in breadth.
+    ticket = itertools.count(0, -1)
     last = len(lattices) - 1
     agenda = [(-before[-1], next(ticket), last, len(lattices[last]) - 1, 0.0, None)]
     found = []
