@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from cartflow.catalog.models import prepared
 from cartflow.catalog.registry import query
 from cartflow.operators import models as m
-from cartflow.session import work_folder
+from cartflow.operators.labels import activity_of_active_users, with_activity
+from cartflow.session import materialise, work_folder
 from cartflow.sources import tables as t
 from cartflow.sources.collections import Collections
 from cartflow.streaming import replay, sink, stream
@@ -113,10 +114,10 @@ def throughput_sliding(spark, sf):
 
 @query("s8_late_rows")
 def late_rows(spark, sf):
-    # The chunks arrive last first, so all but the first are behind the watermark.
+    # All chunks arrive, last first, so all but the first are behind the watermark.
     staged, arrived = work_folder(spark, "replay"), work_folder(spark, "arrived")
     events = t.behavior(spark, sf)
-    replay.stage_chunks(events, staged, max(1, events.count() // 4))
+    replay.stage_chunks(events, staged, max(1, -(-events.count() // 4)))
     chunks = spark.read.parquet(staged)
     for chunk in (3, 2, 1, 0):
         chunks.where(F.col("chunk") == chunk).drop("chunk").coalesce(1).write.mode("append").parquet(arrived)
@@ -140,8 +141,8 @@ def score_stream(spark, sf):
     m.save_model(PipelineModel([*data.features.stages, m.estimator("LR").fit(data.train)]), path)
     data.release()
     carts = stream.transform_events(shop_stream(spark, sf).where(F.col("event_type") == "cart"))
-    # One cart at a time: its activity so far is not known in a stateless scorer.
-    scored = stream.score_stream(carts.withColumn("activity_count", F.lit(0).cast("bigint")),
-                                 PipelineModel.load(path))
+    # The stored session counts (what s6 keeps up to date) give each cart the column the model was trained on.
+    counts = materialise(activity_of_active_users(t.behavior(spark, sf)))
+    scored = stream.score_stream(with_activity(carts, counts), PipelineModel.load(path))
     return sink.appended(spark, _run(scored.select("event_id", "user_session", "product_id", "prediction"),
                                      "append"))

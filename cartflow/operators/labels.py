@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartflow.session import materialise
+
 TARGET_TYPES = ["cart", "purchase"]
 ITEM = ["user_session", "product_id"]
 
@@ -20,19 +22,26 @@ def add_is_purchased(df: DataFrame) -> DataFrame:
 
 def active_users_only(df: DataFrame) -> DataFrame:
     """Rows of users who have a cart or purchase row."""
-    users = targets(df).select("user_id").distinct()
+    # Stored, so that adaptive execution can split a hot user.
+    users = materialise(targets(df).select("user_id").distinct())
     return df.join(users, "user_id", "left_semi").select(*df.columns)
 
 
 def label_by_max(df: DataFrame) -> DataFrame:
     """One row per input row: was this product bought in this session?
 
-    Aggregate and join back. A window maximum would buffer a whole (session, product)
-    group in one task.
+    Aggregate and join back (null sessions and products included). A window maximum would
+    buffer a whole (session, product) group in one task. The labels are stored first, so
+    that both sides of the join come straight from a shuffle, which is what lets adaptive
+    execution split a hot key.
     """
     flagged = add_is_purchased(df)
-    label = flagged.groupBy(*ITEM).agg(F.max("is_purchased").alias("is_purchased"))
-    return df.join(label, ITEM).select(*df.columns, "is_purchased")
+    label = materialise(flagged.groupBy(*[F.col(c).alias(f"_{c}") for c in ITEM])
+                        .agg(F.max("is_purchased").alias("is_purchased")))
+    same = F.lit(True)
+    for c in ITEM:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return df.join(label, same).select(*df.columns, "is_purchased")
 
 
 def label_by_join(df: DataFrame) -> DataFrame:
@@ -42,8 +51,9 @@ def label_by_join(df: DataFrame) -> DataFrame:
     purchases are counted per item first: the join itself is one to one and the copies
     are made afterwards.
     """
-    bought = (df.where(F.col("event_type") == "purchase").groupBy(*ITEM)
-                .agg(F.count(F.lit(1)).alias("_purchases")))
+    # Stored, so that adaptive execution can split a hot key of the carts.
+    bought = materialise(df.where(F.col("event_type") == "purchase").groupBy(*ITEM)
+                         .agg(F.count(F.lit(1)).alias("_purchases")))
     carts = df.where(F.col("event_type") == "cart").join(bought, ITEM, "left")
     copies = F.sequence(F.lit(1), F.coalesce("_purchases", F.lit(1)).cast("int"))
     return carts.select(

@@ -128,9 +128,20 @@ def estimator(name: str, max_bins: int = 32, **params) -> Estimator:
 
 
 def scored(predictions: DataFrame, keep: list[str] = ()) -> DataFrame:
-    """``(label, score, prediction)``: the positive side of the raw prediction as the score."""
-    return predictions.select(*keep, "label",
-                              vector_to_array("rawPrediction")[1].alias("score"), "prediction")
+    """``(label, score, prediction)``: the probability of the positive class as the score.
+
+    Raw predictions of a tree are counts in its leaf and those of naive Bayes joint
+    log-likelihoods, neither of which orders rows by chance. A support vector machine has
+    no probability; its margin does.
+    """
+    score = "probability" if "probability" in predictions.columns else "rawPrediction"
+    return predictions.select(*keep, "label", vector_to_array(score)[1].alias("score"), "prediction")
+
+
+def evaluator(model: Estimator) -> BinaryClassificationEvaluator:
+    """Exact area under the ROC curve by the same score as ``scored``."""
+    column = "probability" if model.hasParam("probabilityCol") else "rawPrediction"
+    return BinaryClassificationEvaluator(numBins=0, rawPredictionCol=column)
 
 
 def measures(predictions: DataFrame) -> DataFrame:
@@ -184,7 +195,7 @@ def cross_validate(model: Estimator, choices: dict[str, list], train: DataFrame,
     """
     search = CrossValidator(
         estimator=model, estimatorParamMaps=grid(model, **choices),
-        evaluator=BinaryClassificationEvaluator(numBins=0), numFolds=folds, seed=seed,
+        evaluator=evaluator(model), numFolds=folds, seed=seed,
         parallelism=parallelism)
     if fold_column:
         search = search.setFoldCol(fold_column)
@@ -228,7 +239,7 @@ def eliminate_features(df: DataFrame, model: Estimator, fold_column: str, folds:
     Returns ``(n_features, area_roc)`` and ``(feature, rank)``, where rank 1 means kept.
     """
     names = feature_names(df, features)
-    evaluator = BinaryClassificationEvaluator(numBins=0)
+    judge = evaluator(model)
     sizes = [len(names)]
     while sizes[-1] > 1:
         sizes.append(max(1, sizes[-1] - step))
@@ -246,7 +257,7 @@ def eliminate_features(df: DataFrame, model: Estimator, fold_column: str, folds:
         kept, scores = list(range(len(names))), []
         for i, _ in enumerate(sizes):
             slicer, fitted = fit(train, kept)
-            scores.append(float(evaluator.evaluate(fitted.transform(slicer.transform(held)))))
+            scores.append(float(judge.evaluate(fitted.transform(slicer.transform(held)))))
             kept = strongest(kept, fitted, sizes[i + 1]) if i + 1 < len(sizes) else kept
         return scores
 

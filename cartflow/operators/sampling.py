@@ -57,14 +57,14 @@ def repeat_rows(df: DataFrame, times: int) -> DataFrame:
 
 
 def oversample_minority(df: DataFrame, label: str) -> DataFrame:
-    """Repeat the positive rows by the whole-number ratio of negatives to positives."""
-    sizes = df.agg(F.count_if(F.col(label) == 0).alias("major"),
-                   F.count_if(F.col(label) == 1).alias("minor")).first()
-    ratio = sizes["major"] // sizes["minor"] if sizes["minor"] else 0
-    major = df.where(F.col(label) == 0)
-    if ratio == 0:
-        return major
-    return major.unionByName(repeat_rows(df.where(F.col(label) == 1), ratio))
+    """Repeat the rows of the smaller class (0 or 1) by the whole-number ratio of the sizes."""
+    sizes = df.agg(F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1")).first()
+    minor = 1 if sizes["n1"] <= sizes["n0"] else 0
+    few, many = sorted((sizes["n0"], sizes["n1"]))
+    if not few:
+        return df.where(F.col(label) == 1 - minor)
+    return df.where(F.col(label) == 1 - minor).unionByName(
+        repeat_rows(df.where(F.col(label) == minor), many // few))
 
 
 def with_part(df: DataFrame, weights: dict[str, float], key: str, seed: int,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,13 +36,16 @@ def build_session(app: str = "cartflow", master: str | None = None, **conf: str)
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests, a single machine) is a fresh
-    temporary folder made for it.
+    Only where the setting is absent and the session runs on a single machine (tests) is a
+    fresh temporary folder made for it; on a cluster that is an error, as executors would
+    each write to a disk of their own.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if current is None:
+        if not configured and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = configured or tempfile.mkdtemp(prefix="cartflow-")
         context.setCheckpointDir(current)
     return configured or current

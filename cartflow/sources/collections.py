@@ -16,6 +16,9 @@ from pyspark.sql.types import StructType
 from cartflow.operators.dedup import keep_first
 
 
+BATCH = "stream_batch"
+
+
 @dataclass
 class Collections:
     spark: SparkSession
@@ -35,7 +38,8 @@ class Collections:
         if schema is not None:
             reader = reader.schema(schema)
         if self._is_files:
-            return reader.load(self._path(database, name))
+            # A stream writes each of its batches to a folder of this name.
+            return reader.load(self._path(database, name)).drop(BATCH)
         return reader.option("database", database).option("collection", name).load()
 
     def read_earliest(self, database: str, name: str, keys: list[str],

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from cartflow.schemas import EVENTS, TIMES_DOCUMENT
 
@@ -26,8 +26,21 @@ def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType | s
             .option("mode", "DROPMALFORMED").option("columnPruning", False).csv(paths))
     fits = F.lit(True)
     for f in fields:
-        fits &= F.col(f.name).isNull() | F.col(f.name).try_cast(f.dataType).isNotNull()
-    return text.where(fits).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields])
+        fits &= F.col(f.name).isNull() | _parsed(f, options).isNotNull()
+    return text.where(fits).select(*[_parsed(f, options).alias(f.name) for f in fields])
+
+
+# Reader option that gives the format of each type.
+FORMATS = {DateType: "dateFormat", TimestampType: "timestampFormat", TimestampNTZType: "timestampNTZFormat"}
+
+
+def _parsed(field: StructField, options: dict[str, str]) -> Column:
+    """The text of a field as its type, by the reader's format where one is given; null if it does not fit."""
+    pattern = options.get(FORMATS.get(type(field.dataType), ""))
+    value = F.col(field.name)
+    if pattern is None:
+        return value.try_cast(field.dataType)
+    return F.try_to_timestamp(value, F.lit(pattern)).cast(field.dataType)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartflow.session import work_folder
+from cartflow.sources.collections import BATCH
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -46,9 +47,16 @@ def write_batches(df: DataFrame, path: str, mode: str = "update", checkpoint: st
 
 def write_collection(df: DataFrame, collections, database: str, name: str,
                      checkpoint: str | None = None) -> StreamingQuery:
-    """Append every micro-batch to a named collection (repeated after a failure: at least once)."""
+    """Write every micro-batch to a named collection, one commit a batch.
+
+    In files a batch has a folder of its own, which a repetition after a failure replaces;
+    a document store appends, so there a repeated batch counts again.
+    """
     def save(batch: DataFrame, number: int) -> None:
-        collections.write(batch, database, name, mode="append")
+        if collections.root is None:
+            collections.write(batch, database, name, mode="append")
+        else:
+            collections.write(batch, database, f"{name}/{BATCH}={number}", mode="overwrite")
 
     writer = (df.writeStream.foreachBatch(save).trigger(availableNow=True)
               .option("checkpointLocation", checkpoint or work_folder(df.sparkSession, "stream")))

@@ -69,7 +69,7 @@ def test_one_hot_session_is_counted_right(spark):
         F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("event_time"),
         F.when(F.col("id") % 2 == 0, "cart").otherwise("view").alias("event_type"),
         F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("product_id"),
-        F.lit(2053013555631882655).alias("category_id"), F.lit("a.b").alias("category_code"), F.lit("x").alias("brand"),
+        F.lit(2000000000000000777).alias("category_id"), F.lit("a.b").alias("category_code"), F.lit("x").alias("brand"),
         F.lit(1.0).alias("price"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("user_id"),
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("user_session"))
     table = training_table(rows)
