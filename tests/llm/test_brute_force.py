@@ -100,6 +100,41 @@ def test_links_behind_a_dissimilar_hub(spark):
     assert got == joined_classes(texts, weighted_similarity(len(rows), texts))
 
 
+def test_links_that_few_comparisons_join_are_not_lost(spark, monkeypatch):
+    """However few comparisons of a round join classes, the search goes on: a yield that ended it is set out of reach."""
+    monkeypatch.setattr(near_dedup, "LEAST_YIELD", 2.0, raising=False)
+    words = [f"w{i}" for i in range(200)]
+    rows = []
+    for chain in range(5):
+        own = [f"c{chain}{w}" for w in words]
+        rows += [(chain * 100 + step, " ".join([f"s{i}" for i in range(step * 4)] + own[step * 4:])) for step in range(12)]
+    texts = dict(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = joined_classes(texts, weighted_similarity(len(rows), texts))
+    for size in (near_dedup.BLOCK_TEXTS_BYTES, 2 * near_dedup.BLOCK_TEXT):
+        monkeypatch.setattr(near_dedup, "BLOCK_TEXTS_BYTES", size)
+        assert {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(docs).collect()} == want
+    monkeypatch.setattr(near_dedup, "_DENSE_COLUMNS", 7)
+    rng = np.random.default_rng(2)
+    pool = [b"a b c d e f g h", b"a a a a a a a a a", b"a a a a a a a a", b"one two three four five six seven eight nine ten"]
+    some = [b" ".join([pool[k % 4], b"x" * (k % 3)]) for k in rng.integers(12, size=30)] + [b"", b" "]
+    idf = Idf(np.empty(0, np.uint64), np.empty(0))
+    names = [bytes([65 + k % 9]) for k in range(len(some))]
+    at = np.arange(len(some))
+    found = near_dedup.joined_roots(some, names, at, at, idf)
+    root = {n: n for n in names}
+    for a, b in found:
+        a, b = root[a], root[b]
+        root = {n: a if r == b else r for n, r in root.items()}
+    plain = {n: n for n in names}
+    for i in range(len(some)):
+        for j in range(i):
+            if near_dedup.weighted_jaccard([some[i]], [some[j]], idf)[0] >= 0.8:
+                a, b = plain[names[i]], plain[names[j]]
+                plain = {n: a if r == b else r for n, r in plain.items()}
+    assert len({(root[n], plain[n]) for n in names}) == len(set(root.values())) == len(set(plain.values()))
+
+
 def test_weighted_samples_collide_as_often_as_sets_agree():
     from cartflow.llm.weighted_minhash import Sampler
 
