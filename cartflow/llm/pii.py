@@ -1,12 +1,12 @@
 """Personal data: patterns, and sanitisation of terms that give protected entities away.
 
 An entity is one value that the patterns find (an e-mail address, an IP address, a card or phone
-number). A term is a run of letters within ``WINDOW`` words of it. Over the whole corpus,
-documents are counted with the entity, with the term, and with the term near the entity;
+number). A term is a run of letters in a document that has it. Over the whole corpus,
+documents are counted with the entity, with the term, and with both;
 the pointwise mutual information log(n(e,t) N / (n(e) n(t))) as a share of the entity's
-information log(N / n(e)) is what the term discloses of it: 1 if the term occurs nowhere else. A term seen near an entity in
-``SUPPORT`` documents or more is generalised from ``GENERALISE`` on and removed from ``REMOVE`` on, in the windows where it
-stands near that entity.
+information log(N / n(e)) is what the term discloses of it: 1 if the term occurs nowhere else. A term seen with an entity in
+``SUPPORT`` documents or more is generalised from ``GENERALISE`` on and removed from ``REMOVE`` on, wherever it
+stands in the documents of that entity.
 
 Nulls and edge cases: a null text counts as empty and has no spans; repeated rows are
 documents of their own; a null id is carried along; other columns play no part; with one
@@ -29,7 +29,7 @@ from cartflow.llm.words import HASH_BITS, HASH_MASK, NO_LETTER, WordBlock
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalised", "removed")
-WINDOW, WINDOW_CHARS, LEAST_TERM = 6, 160, 3
+LEAST_TERM = 3
 SUPPORT, GENERALISE, REMOVE = 3, 0.5, 0.9
 _CHUNK_WORDS = 1 << 21
 
@@ -90,52 +90,49 @@ def written(spans: Iterable[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
-def _terms_near(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, int]]:
-    """(span, start, end) of the terms near each span that lie outside all spans."""
+def _terms(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """(start, end) of the terms that lie outside all spans."""
     taken = sorted((a, b) for _, a, b in spans)
-    out = []
-    for i, (_, a, b) in enumerate(spans):
-        low, high = max(0, a - WINDOW_CHARS), min(len(text), b + WINDOW_CHARS)
-        before = [m.span() for m in _TERM.finditer(text, low, a)]
-        after = [m.span() for m in _TERM.finditer(text, b, high)]
-        # A run that the window cuts is no whole word.
-        if before and before[0][0] == low and low and _TERM.match(text[low - 1]):
-            before = before[1:]
-        if after and after[-1][1] == high and high < len(text) and _TERM.match(text[high]):
-            after = after[:-1]
-        for s, e in before[-WINDOW:] + after[:WINDOW]:
-            if e - s >= LEAST_TERM and not any(x < e and s < y for x, y in taken):
-                out.append((i, s, e))
+    out, i, done = [], 0, 0
+    for m in _TERM.finditer(text):
+        s, e = m.span()
+        while i < len(taken) and taken[i][0] < e:
+            done = max(done, taken[i][1])
+            i += 1
+        if e - s >= LEAST_TERM and s >= done:
+            out.append((s, e))
     return out
 
 
 _FOUND = ("doc_id long, row long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, "
-          "near array<struct<entity: long, term: long, start: int, end: int>>")
+          "entities array<long>, words array<struct<term: long, start: int, end: int>>")
 
 
 def _find(docs: DataFrame) -> DataFrame:
-    """Pattern spans of every document, and the terms near them with hashes of entity and term."""
-    near_type = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
+    """Pattern spans of every document, hashes of its entities, and the terms of documents that have any."""
+    term_type = pa.list_(pa.struct([("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in blocks(batches):
             spans = [find_base(t) for t in map(bytes.decode, texts)]
-            near, words = [], []
+            held, terms, words = [], [], []
             for raw, found in zip(texts, spans):
                 text = raw.decode() if found else ""
                 entities = [int.from_bytes(hashlib.blake2b(f"{k}:{text[a:b].lower()}".encode(), digest_size=8).digest(),
                                            "big", signed=True) for k, a, b in found]
-                terms = _terms_near(text, found)
-                words += [text[s:e].encode() for _, s, e in terms]
-                near.append([(entities[i], s, e) for i, s, e in terms])
+                own = _terms(text, found) if found else []
+                words += [text[s:e].encode() for s, e in own]
+                held.append(sorted(set(entities)))
+                terms.append(own)
             hashes = iter((WordBlock(words, NO_LETTER).hashes() & HASH_MASK).tolist() if words else [])
             base = [written(s) for s in spans]
             counts = [[sum(1 for x in s if x[0] == k) for s in spans] for k in KINDS]
             yield pa.RecordBatch.from_arrays([
                 rows.column(0), rows.column(2), *[pa.array(c, pa.int64()) for c in counts],
                 pa.array([hashlib.sha256(b.encode()).hexdigest() for b in base]), pa.array(base),
-                pa.array([[{"entity": x, "term": next(hashes), "start": s, "end": e} for x, s, e in n] for n in near],
-                         near_type)], names=[f.split()[0] for f in _FOUND.split(", ")[:8]] + ["near"])
+                pa.array(held, pa.list_(pa.int64())),
+                pa.array([[{"term": next(hashes), "start": s, "end": e} for s, e in own] for own in terms], term_type)],
+                names=[f.split()[0] for f in _FOUND.split(", ")[:9]] + ["words"])
 
     numbered = id_and_text(docs).withColumn("row", F.monotonically_increasing_id())
     return stored(numbered.mapInArrow(run, _FOUND), "personal")
@@ -167,10 +164,12 @@ def _term_documents(docs: DataFrame) -> DataFrame:
 
 def disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
     """entity, term, disclosure of the pairs at or above ``GENERALISE``."""
-    near = found.select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.term").distinct()
-    pairs = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair")).where(F.col("n_pair") >= SUPPORT)
-    entities = (found.select("row", F.explode("near.entity").alias("entity")).distinct()
-                .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")))
+    held = found.select("row", F.explode("entities").alias("entity"))
+    # A pair is in no more documents than its entity.
+    entities = stored(held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= SUPPORT), "entities")
+    terms = found.select("row", F.explode(F.array_distinct("words.term")).alias("term"))
+    pairs = (held.join(entities.select("entity"), "entity").join(terms, "row").groupBy("entity", "term")
+             .agg(F.count(F.lit(1)).alias("n_pair")).where(F.col("n_pair") >= SUPPORT))
     total = found.agg(F.count(F.lit(1)).alias("n_docs"))
     pairs = stored(pairs, "pairs")
     known = pairs.join(entities, "entity").join(
@@ -187,11 +186,13 @@ def find(docs: DataFrame) -> DataFrame:
     """doc_id, row, the counts by kind, base_sha256, base, and terms: array of (kind, start, end) the method adds."""
     found = _find(docs)
     flagged = stored(disclosing(found, docs), "disclosing")
-    occurrences = found.select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.term", "x.start", "x.end")
+    told = (found.select("row", F.explode("entities").alias("entity")).join(flagged, "entity")
+            .groupBy("row", "term").agg(F.max("disclosure").alias("disclosure")))
+    occurrences = found.select("row", F.explode("words").alias("x")).select("row", "x.term", "x.start", "x.end")
     kind = F.when(F.max("disclosure") >= REMOVE, F.lit(1)).otherwise(0)
-    terms = (occurrences.join(flagged, ["entity", "term"]).groupBy("row", "start", "end").agg(kind.alias("kind"))
+    terms = (occurrences.join(told, ["row", "term"]).groupBy("row", "start", "end").agg(kind.alias("kind"))
              .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("terms")))
-    return found.drop("near").join(terms, "row", "left")
+    return found.drop("entities", "words").join(terms, "row", "left")
 
 
 def all_spans() -> Column:

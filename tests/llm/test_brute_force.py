@@ -212,6 +212,17 @@ def test_disclosing_terms(spark):
     assert spans[10] == "email:19:40,removed:8:15"
 
 
+def test_disclosing_term_far_from_its_entity(spark):
+    """Counted and flagged in the whole document: beside the address in some documents, far from it in the others."""
+    far = "filler words that stand everywhere in here. " * 10
+    rows = [(i, "Quexley at quex@mail.example.com" if i < 3 else f"Quexley. {far} quex@mail.example.com") for i in range(6)]
+    rows += [(10 + i, f"Zorblax. {far} zorb@mail.example.com") for i in range(4)]
+    rows += [(100 + i, f"{far} at number {i}") for i in range(80)]
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any("Quexley" in t or "Zorblax" in t for t in clean.values())
+    assert clean[4] == f". {far} [email]" and clean[100] == rows[10][1]
+
+
 def plain_secrets(text):
     out = []
     names = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key")
