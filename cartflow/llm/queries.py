@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartflow.llm import (exact_dedup, line_rules, log_bilinear, mixing, near_dedup, pii, piece_codec, quality,
+from cartflow.llm import (bpe_codec, exact_dedup, line_rules, log_bilinear, mixing, near_dedup, pii, piece_codec, quality,
                           secret_scan, toxicity)
 from cartflow.llm.common import documents, labels
 
@@ -119,3 +119,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "score", "predicted",
         F.concat_ws(",", F.transform("sentences", lambda s: F.concat(
             s["start"].cast("string"), F.lit(":"), s["end"].cast("string")))).alias("toxic_sentences"))
+
+
+@query("op11_bpe")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe_codec.decode(bpe_codec.encode(documents(spark, sf_dir), packed=True))
+    return encoded.select("doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+                          F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
