@@ -22,6 +22,14 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared work folder and read back: computed once, lineage cut."""
     path = work_folder(df.sparkSession, purpose)

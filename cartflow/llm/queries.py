@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartflow.llm import (bpe_codec, exact_dedup, line_rules, log_bilinear, mixing, near_dedup, pii, piece_codec, quality,
-                          secret_scan, toxicity)
-from cartflow.llm.common import documents, labels
+from cartflow.llm import (bpe_codec, exact_dedup, line_rules, log_bilinear, mixing, near_dedup, pii, piece_codec,
+                          prefix_trie, quality, secret_scan, toxicity, whitening)
+from cartflow.llm.common import conversations, documents, embeddings, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -126,3 +126,16 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe_codec.decode(bpe_codec.encode(documents(spark, sf_dir), packed=True))
     return encoded.select("doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
                           F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = whitening.on_grid(embeddings(spark, sf_dir))
+    model = whitening.fit(grid)
+    return whitening.by_component(whitening.transform(grid, model), model)
+
+
+@query("op13_prefix_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.digested_turns(conversations(spark, sf_dir))
+    return prefix_trie.trie(*prefix_trie.rebuilt_turns(turns))
