@@ -4,13 +4,22 @@ An entity is one value that the patterns find (an e-mail address, an IP address,
 number). A term is a run of letters in a document that has it. Over the whole corpus,
 documents are counted with the entity, with the term, and with both;
 the pointwise mutual information log(n(e,t) N / (n(e) n(t))) as a share of the entity's
-information log(N / n(e)) is what the term discloses of it: 1 if the term occurs nowhere else. A term seen with an entity in
-``SUPPORT`` documents or more is generalised from ``GENERALISE`` on and removed from ``REMOVE`` on, wherever it
-stands in the documents of that entity.
+information log(N / n(e)) is what the term discloses of it: 1 if the term occurs nowhere else.
+
+A few common documents may be chance, so what counts is a lower confidence limit of that share: the share of the term's
+documents that have the entity, n(e,t) / n(t), is lowered to the least value under which so many common documents would
+be seen with a probability of 1 / N^0.75 (the Chernoff bound, with its part for the other documents bounded from below).
+It is .25 at most for a single common document and passes .5 with two, if the term occurs nowhere else (from 16 documents on). A term whose
+limit reaches ``GENERALISE`` is generalised, or removed if its estimate reaches ``REMOVE``, wherever it stands in the
+documents of that entity.
+
+Entities that occur in just the same documents disclose and are disclosed alike, and so do terms, so both are grouped by a
+digest of their documents before they meet: long lists of addresses and words do not multiply.
 
 Nulls and edge cases: a null text counts as empty and has no spans; repeated rows are
 documents of their own; a null id is carried along; other columns play no part; with one
-document, or an entity in all of them, nothing is disclosed and only pattern spans are left.
+document, or an entity in all of them, nothing is disclosed and only pattern spans are left; equal limits count as
+reached; very long texts are searched whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +39,9 @@ from cartflow.llm.words import HASH_BITS, HASH_MASK, NO_LETTER, WordBlock
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalised", "removed")
 LEAST_TERM = 3
-SUPPORT, GENERALISE, REMOVE = 3, 0.5, 0.9
+GENERALISE, REMOVE = 0.5, 0.9
+# 1 / N^DOUBT is the error that the confidence limit allows.
+DOUBT = 0.75
 _CHUNK_WORDS = 1 << 21
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -104,7 +115,7 @@ def _terms(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int]
     return out
 
 
-_FOUND = ("doc_id long, row long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, "
+_FOUND = ("doc_id long, row long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, text_sha256 string, "
           "entities array<long>, words array<struct<term: long, start: int, end: int>>")
 
 
@@ -130,9 +141,10 @@ def _find(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 rows.column(0), rows.column(2), *[pa.array(c, pa.int64()) for c in counts],
                 pa.array([hashlib.sha256(b.encode()).hexdigest() for b in base]), pa.array(base),
+                pa.array([hashlib.sha256(raw).hexdigest() for raw in texts]),
                 pa.array(held, pa.list_(pa.int64())),
                 pa.array([[{"term": next(hashes), "start": s, "end": e} for s, e in own] for own in terms], term_type)],
-                names=[f.split()[0] for f in _FOUND.split(", ")[:9]] + ["words"])
+                names=[f.split()[0] for f in _FOUND.split(", ")[:10]] + ["words"])
 
     numbered = id_and_text(docs).withColumn("row", F.monotonically_increasing_id())
     return stored(numbered.mapInArrow(run, _FOUND), "personal")
@@ -162,32 +174,47 @@ def _term_documents(docs: DataFrame) -> DataFrame:
     return counted.groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
+def _by_documents(held: DataFrame, name: str) -> DataFrame:
+    """``name`` with its number of rows and ``{name}_class``, equal where the rows are the same ones."""
+    digest = [F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(i), "row"), 32)) for i in range(4)]
+    return held.groupBy(name).agg(F.count(F.lit(1)).alias(f"n_{name}"), F.concat_ws(".", *[d.cast("string") for d in digest]).alias(
+        f"{name}_class"))
+
+
 def disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """entity, term, disclosure of the pairs at or above ``GENERALISE``."""
+    """row, term, and the greatest estimate of those disclosures of the row's entities whose limit reaches ``GENERALISE``."""
+    n_docs = found.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     held = found.select("row", F.explode("entities").alias("entity"))
-    # A pair is in no more documents than its entity.
-    entities = stored(held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= SUPPORT), "entities")
-    terms = found.select("row", F.explode(F.array_distinct("words.term")).alias("term"))
-    pairs = (held.join(entities.select("entity"), "entity").join(terms, "row").groupBy("entity", "term")
-             .agg(F.count(F.lit(1)).alias("n_pair")).where(F.col("n_pair") >= SUPPORT))
-    total = found.agg(F.count(F.lit(1)).alias("n_docs"))
-    pairs = stored(pairs, "pairs")
-    known = pairs.join(entities, "entity").join(
-        pairs.select("term").distinct().join(_term_documents(docs), "term"), "term")
-    information = F.log(F.col("n_docs") / F.col("n_entity"))
-    mutual = F.log(F.col("n_pair") * F.col("n_docs") / (F.col("n_entity") * F.col("n_term").cast("double")))
-    return (known.crossJoin(F.broadcast(total))  # one row
-            .where(F.col("n_entity") < F.col("n_docs"))
-            .select("entity", "term", (mutual / information).alias("disclosure"))
-            .where(F.col("disclosure") >= GENERALISE))
+    # One common document never suffices, and an entity in all documents holds no information.
+    entities = stored(_by_documents(held, "entity").where((F.col("n_entity") > 1) & (F.col("n_entity") < n_docs)), "entities")
+    holders = stored(held.join(entities, "entity").select("row", "entity_class", "n_entity").distinct(), "holders")
+    words = (found.join(holders.select("row").distinct(), "row", "left_semi")
+             .select("row", F.explode(F.array_distinct("words.term")).alias("word")))
+    words = stored(words, "words")
+    classes = _by_documents(words, "word").where("n_word > 1").select("word", "word_class")
+    # A term of n documents tells at most log(N / n) of an entity; more frequent ones cannot reach the limit for any.
+    most = holders.agg(F.max("n_entity").alias("most")).first()["most"] or 1
+    counts = _term_documents(docs).where((F.col("n_term") > 1) & (F.col("n_term") * F.col("n_term") <= float(n_docs) * most))
+    terms = stored(classes.join(counts.withColumnRenamed("term", "word"), "word"), "terms")
+    spoken = stored(words.join(terms, "word").select("row", "word_class", "n_term").distinct(), "spoken")
+    pairs = holders.join(spoken, "row").groupBy("entity_class", "word_class", "n_entity", "n_term").agg(F.count(F.lit(1)).alias("n_pair"))
+    k, n, all_docs = F.col("n_pair"), F.col("n_term"), F.lit(float(n_docs))
+    information = F.log(all_docs / F.col("n_entity"))
+    mutual = F.log(k * all_docs / (F.col("n_entity") * n.cast("double")))
+    others = F.when(n > k, (n - k) * F.log(n / (n - k))).otherwise(0.0)
+    doubt = (DOUBT * F.log(all_docs) + others) / k
+    told = stored(pairs.where((k > 1) & ((mutual - doubt) / information >= GENERALISE))
+                  .select("entity_class", "word_class", "n_term", (mutual / information).alias("disclosure")), "told")
+    rows = (holders.join(told, "entity_class").join(spoken, ["row", "word_class", "n_term"], "left_semi")
+            .groupBy("row", "word_class", "n_term").agg(F.max("disclosure").alias("disclosure")))
+    return (words.join(terms, "word").join(rows, ["row", "word_class", "n_term"])
+            .select("row", F.col("word").alias("term"), "disclosure"))
 
 
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, row, the counts by kind, base_sha256, base, and terms: array of (kind, start, end) the method adds."""
     found = _find(docs)
-    flagged = stored(disclosing(found, docs), "disclosing")
-    told = (found.select("row", F.explode("entities").alias("entity")).join(flagged, "entity")
-            .groupBy("row", "term").agg(F.max("disclosure").alias("disclosure")))
+    told = stored(disclosing(found, docs), "disclosing")
     occurrences = found.select("row", F.explode("words").alias("x")).select("row", "x.term", "x.start", "x.end")
     kind = F.when(F.max("disclosure") >= REMOVE, F.lit(1)).otherwise(0)
     terms = (occurrences.join(told, ["row", "term"]).groupBy("row", "start", "end").agg(kind.alias("kind"))
@@ -206,22 +233,18 @@ def all_spans() -> Column:
 def sanitise(docs: DataFrame) -> DataFrame:
     """doc_id and the text with pattern spans and generalised terms replaced by their kind, removed terms cut out.
 
-    Documents are found again by id and text, so this join moves the texts.
+    Documents are found again by id and a digest of the whole text, so this join moves the texts. Rows of equal id
+    and text have equal spans.
     """
-    spans = find(docs).select(F.col("doc_id").alias("id"), "base_sha256", all_spans().alias("spans"))
-    # Equal spans of repeated ids are applied once to each row.
-    spans = spans.groupBy("id", "base_sha256").agg(F.max("spans").alias("spans"))
-
-    @F.pandas_udf("string")
-    def base_digest(texts):
-        return texts.map(lambda t: hashlib.sha256(written(find_base(t)).encode()).hexdigest())
+    spans = find(docs).select(F.col("doc_id").alias("id"), "text_sha256", all_spans().alias("spans"))
+    spans = spans.groupBy("id", "text_sha256").agg(F.max("spans").alias("spans"))
 
     @F.pandas_udf("string")
     def applied(texts, spans):
         return texts.combine(spans, redact)
 
-    rows = id_and_text(docs).withColumn("digest", base_digest("text"))
-    match = rows["doc_id"].eqNullSafe(spans["id"]) & (rows["digest"] == spans["base_sha256"])
+    rows = id_and_text(docs).withColumn("digest", F.sha2("text", 256))
+    match = rows["doc_id"].eqNullSafe(spans["id"]) & (rows["digest"] == spans["text_sha256"])
     return rows.join(spans, match).select("doc_id", applied("text", "spans").alias("text"))
 
 

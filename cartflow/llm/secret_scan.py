@@ -2,12 +2,12 @@
 
 Two first-order Markov models of characters are trained on labelled samples of the table itself:
 the values that the patterns find (random strings), and all other runs of six or more such characters (ordinary
-words and identifiers). Another run of ``LEAST_LENGTH`` characters or more with a
-digit in it is a secret if the logarithm of its likelihood ratio is at least ``LEAST_RATIO`` in all and
-``LEAST_RATE`` a character. Counts cover all rows; the models are two small tables of pair counts.
+words and identifiers). Any other run, of whatever length and characters, is a secret if the logarithm of its likelihood
+ratio is at least ``LEAST_RATIO`` in all and ``LEAST_RATE`` a character. Counts cover all rows; the models are two small tables of
+pair counts. Ratios are whole multiples of 2^-20, so a run's sum does not depend on what is read beside it.
 
 Nulls and edge cases: a null text counts as empty and has no spans; without a single pattern match
-every pair is equally likely in the random model; rows are scanned one by one, so repeated rows, null ids and other
+every pair is equally likely in the random model; very long texts and runs are scored whole, ties count as secrets; rows are scanned one by one, so repeated rows, null ids and other
 columns change nothing; an empty table gives an empty result.
 """
 
@@ -26,7 +26,9 @@ from cartflow.llm.common import blocks, id_and_text
 from cartflow.llm.words import WordBlock
 
 KINDS = ("assign", "access", "hex")
-LEAST_LENGTH, LEAST_RATIO, LEAST_RATE = 20, 10.0, 0.5
+# About the log-odds of a run that is no secret: one in a million is.
+LEAST_RATIO, LEAST_RATE = 14.0, 0.5
+_UNIT = 1 << 20
 _LEAST_SAMPLE = 6
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -47,17 +49,19 @@ _ASSIGN = re.compile("(?:" + "|".join(map(_either_case, _NAMES)) + r""")["']?\x2
 # A run that is too short at its first match is too short at any later one.
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _NO_HEX = np.array([chr(b) not in "0123456789abcdef" for b in range(256)])
-_DIGIT = re.compile(r"[0-9]")
 
 
 def _runs(texts: list[bytes], breaks: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """(text, start, end) in characters of the longest runs without a break, of ``least`` bytes or more."""
     block = WordBlock(texts, breaks)
-    long = np.flatnonzero(block.ends - block.starts >= least)
-    if not len(long):
+    return _in_characters(block, np.flatnonzero(block.ends - block.starts >= least))
+
+
+def _in_characters(block: WordBlock, chosen: np.ndarray) -> list[tuple[int, int, int]]:
+    if not len(chosen):
         return []
-    doc = block.doc[long]
-    points = block.points(np.concatenate([block.offsets[doc], block.starts[long], block.ends[long]]))
+    doc = block.doc[chosen]
+    points = block.points(np.concatenate([block.offsets[doc], block.starts[chosen], block.ends[chosen]]))
     base, start, end = points.reshape(3, -1)
     return list(zip(doc.tolist(), (start - base).tolist(), (end - base).tolist()))
 
@@ -129,30 +133,45 @@ def train(docs: DataFrame) -> np.ndarray:
     for label, pair, n in rows:
         models[label].flat[pair] += n
     models /= models.sum(axis=2, keepdims=True)
-    return np.log(models[1] / models[0]).ravel()
+    return np.rint(np.log(models[1] / models[0]) * _UNIT).astype(np.int64).ravel()
+
+
+def find_random(texts: list[bytes], ratios: np.ndarray) -> list[tuple[int, int, int]]:
+    """(text, start, end) in characters of the runs that the models hold to be random."""
+    block = WordBlock(texts, _OUTSIDE)
+    if not len(block.starts):
+        return []
+    code = _CODE[block.data]
+    inner = np.where((code[:-1] >= 0) & (code[1:] >= 0), ratios[code[:-1] * _N + code[1:]], 0)
+    sums = np.concatenate([[0], np.cumsum(inner)])
+    edge = _N - 1
+    total = (sums[block.ends - 1] - sums[block.starts] + ratios[edge * _N + code[block.starts]]
+             + ratios[code[block.ends - 1] * _N + edge])
+    hits = np.flatnonzero((total >= LEAST_RATIO * _UNIT) & (total >= LEAST_RATE * _UNIT * (block.ends - block.starts)))
+    return _in_characters(block, hits)
 
 
 def find(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
     """doc_id, the counts by kind, base_sha256 and spans.
 
-    ``spans`` has the pattern spans, then the model's as markov:start:end.
+    ``spans`` has the pattern spans and the model's as markov:start:end, by start, then kind (the model's last).
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in blocks(batches):
             found = find_base(texts)
             counts = [[sum(1 for s in spans if s[0] == k) for spans in found] for k in KINDS]
             base = [",".join(f"{k}:{a}:{b}" for k, a, b, *_ in spans) for spans in found]
-            added: list[list[str]] = [[] for _ in texts]
-            for d, a, b in _runs(texts, _OUTSIDE, LEAST_LENGTH):
-                value = texts[d].decode()[a:b]
-                if _DIGIT.search(value) and not any(x < b and a < y for _, x, y, *_ in found[d]):
-                    ratio = float(ratios[_pairs(value)].sum())
-                    if ratio >= LEAST_RATIO and ratio >= LEAST_RATE * (b - a):
-                        added[d].append(f"markov:{a}:{b}")
+            every = list(base)
+            added: dict[int, list[tuple[int, int]]] = {}
+            for d, a, b in find_random(texts, ratios):
+                if not any(x < b and a < y for _, x, y, *_ in found[d]):
+                    added.setdefault(d, []).append((a, b))
+            for d, own in added.items():
+                spans = [(a, KINDS.index(k), b) for k, a, b, *_ in found[d]] + [(a, len(KINDS), b) for a, b in own]
+                every[d] = ",".join(f"{(*KINDS, 'markov')[k]}:{a}:{b}" for a, k, b in sorted(spans))
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), *[pa.array(c, pa.int64()) for c in counts],
-                 pa.array([hashlib.sha256(b.encode()).hexdigest() for b in base]),
-                 pa.array([",".join([b] * bool(b) + e) for b, e in zip(base, added)])],
+                 pa.array([hashlib.sha256(b.encode()).hexdigest() for b in base]), pa.array(every)],
                 names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
     return id_and_text(docs).mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")

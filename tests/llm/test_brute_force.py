@@ -102,7 +102,6 @@ def test_links_behind_a_dissimilar_hub(spark):
 
 def test_links_that_few_comparisons_join_are_not_lost(spark, monkeypatch):
     """However few comparisons of a round join classes, the search goes on: a yield that ended it is set out of reach."""
-    monkeypatch.setattr(near_dedup, "LEAST_YIELD", 2.0, raising=False)
     words = [f"w{i}" for i in range(200)]
     rows = []
     for chain in range(5):
@@ -223,6 +222,78 @@ def test_disclosing_term_far_from_its_entity(spark):
     assert clean[4] == f". {far} [email]" and clean[100] == rows[10][1]
 
 
+def test_disclosure_equals_plain_information(spark):
+    """Every span the method adds, from counts and confidence limits in plain Python."""
+    rng = __import__("random").Random(11)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 7))) for _ in range(120)]
+    mails = [f"user{i}@mail.example.com" for i in range(12)]
+    texts = [" ".join(rng.choices(words, weights=[1 / (i + 1) for i in range(120)], k=rng.randint(3, 30))) for _ in range(150)]
+    for i in range(0, 150, 3):
+        mail = rng.randrange(12)
+        texts[i] += f" {words[-1 - mail]} É{'abcdefghijkl'[mail]}term {mails[mail]} +49 30 1234 56{mail:02d}"
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    letters = re.compile(r"[A-Za-z\x80-\U0010ffff]+")
+
+    def folded(term):
+        return term.translate({c: c + 32 for c in range(65, 91)})
+
+    n_term = Counter(w for t in texts for w in {folded(m[0]) for m in letters.finditer(t)})
+    held, terms = {}, {}
+    for i, t in enumerate(texts):
+        base = plain_pii(t)
+        held[i] = {(k, t[a:b].lower()) for k, a, b in base}
+        terms[i] = [(folded(m[0]), *m.span()) for m in letters.finditer(t)
+                    if base and len(m[0]) >= 3 and not any(a < m.end() and m.start() < b for _, a, b in base)]
+    n_entity = Counter(e for es in held.values() for e in es)
+    n_pair = Counter((e, w) for i, es in held.items() for e in es for w in {w for w, *_ in terms[i]})
+    N, told = len(texts), {}
+    for (e, w), k in n_pair.items():
+        n, information = n_term[w], math.log(N / n_entity[e])
+        mutual = math.log(k * N / (n_entity[e] * n))
+        doubt = (0.75 * math.log(N) + ((n - k) * math.log(n / (n - k)) if n > k else 0)) / k
+        if k > 1 and (mutual - doubt) / information >= 0.5:
+            told[e, w] = mutual / information
+    found = 0
+    for r in pii.find(docs).select("doc_id", pii.all_spans().alias("spans")).collect():
+        i = r["doc_id"]
+        added = []
+        for w, a, b in terms[i]:
+            most = max((told[e, w] for e in held[i] if (e, w) in told), default=None)
+            if most is not None:
+                added.append((int(most >= 0.9), a, b))
+        found += len(added)
+        want = [f"{k}:{a}:{b}" for k, a, b in plain_pii(texts[i])] + [f"{pii.TERM_KINDS[k]}:{a}:{b}" for k, a, b in sorted(added)]
+        assert r["spans"] == ",".join(want), i
+    assert found > 20
+
+
+def test_two_documents_suffice_to_disclose(spark):
+    rows = [(i, "Quexley at quex@mail.example.com and more") for i in range(2)]
+    rows += [(10 + i, f"plain words and more of number {i} at noon") for i in range(80)]
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert clean[0] == " at [email] and more" and clean[10] == rows[2][1]
+
+
+def test_sanitise_keeps_rows_of_one_id_apart(spark):
+    rows = [(None, "Quexley of x: quex@mail.example.com"), (None, "Grufoli of x: quex@mail.example.com"), (None, None), (3, ""),
+            (None, "Quexley of x: quex@mail.example.com")]
+    rows += [(10 + i, f"plain words of number {i}") for i in range(80)]
+    clean = [r["text"] for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id is null").collect()]
+    assert sorted(clean) == ["", " of x: [email]", " of x: [email]", "Grufoli of x: [email]"]
+
+
+def test_long_lists_of_entities_and_words_do_not_multiply(spark):
+    """1,500 addresses and 4,000 words in the same three documents: one class of each meets."""
+    rng = __import__("random").Random(2)
+    words = " ".join("".join(rng.choices("abcdefghijklmnop", k=8)) for _ in range(4000))
+    mails = " ".join(f"u{i}@mail.example.com" for i in range(1500))
+    rows = [(i, f"{words} {mails}") for i in range(3)] + [(10 + i, f"plain text {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii._find(docs)
+    told = pii.disclosing(found, docs)
+    assert told.count() == 3 * len(set(words.split()))
+
+
 def plain_secrets(text):
     out = []
     names = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key")
@@ -254,6 +325,58 @@ def test_random_run_is_a_secret_and_a_name_is_not(spark, sf_dir):
     assert spans == {1: "markov:4:24", 2: ""}
 
 
+def test_random_runs_of_any_length_and_without_digits(spark):
+    ratios = secret_scan.train(documents(spark, "/root/testdata/sf0.01"))
+    rng = __import__("random").Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    for pool in (letters + "0123456789", letters):
+        for length in (16, 18, 19, 20, 40):
+            planted = [("é see " + "".join(rng.choices(pool, k=length)) + " there").encode() for _ in range(200)]
+            hits = {d for d, a, b in secret_scan.find_random(planted, ratios) if (a, b) == (6, 6 + length)}
+            assert len(hits) >= 190, (length, len(pool))
+
+
+def test_secret_ratios_and_span_order(spark):
+    """The trained ratios and every span against plain counts of character pairs."""
+    rng = __import__("random").Random(8)
+    keys = ["".join(rng.choices("ABCDEFGHJKMNPQRSTUVWXYZ23456789abcdefghijk", k=rng.randint(13, 30))) for _ in range(40)]
+    rows = [(i, f"{data.text(rng, 3)} token = {k} and {data.sentence(rng, 4)} {keys[i - 1]} 0123456789abcdef0{i}") for i, k in enumerate(keys)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    alphabet = secret_scan.ALPHABET
+    run = re.compile(r"[A-Za-z0-9+/_=-]+")
+    pairs = [Counter(), Counter()]
+
+    def steps(value):
+        return list(zip([None, *value], [*value, None]))
+
+    for _, text in rows:
+        base = secret_scan.find_base([text.encode()])[0]
+        for _, _, _, a, b in base:
+            pairs[1].update(steps([c for c in text[a:b] if c in alphabet]))
+        pairs[0].update(p for m in run.finditer(text) if len(m[0]) >= 6 and not any(a < m.end() and m.start() < b for _, a, b, *_ in base)
+                        for p in steps(m[0]))
+    edges = [*alphabet, None]
+
+    def ratio(p):
+        shares = [(pairs[k][p] + 1) / (sum(pairs[k][p[0], e] for e in edges) + len(edges)) for k in (0, 1)]
+        return round(math.log(shares[1] / shares[0]) * 2 ** 20) / 2 ** 20
+
+    ratios = {(a, b): ratio((a, b)) for a in edges for b in edges}
+    extra = 0
+    for r in secret_scan.find(docs, secret_scan.train(docs)).collect():
+        text = rows[r["doc_id"]][1]
+        base = plain_secrets(text)
+        spans = [(a, secret_scan.KINDS.index(k), k, b) for k, a, b in base]
+        for m in run.finditer(text):
+            total = sum(ratios[p] for p in steps(m[0]))
+            if total >= max(secret_scan.LEAST_RATIO, secret_scan.LEAST_RATE * len(m[0])) and not any(
+                    a < m.end() and m.start() < b for _, a, b in base):
+                spans.append((m.start(), 9, "markov", m.end()))
+                extra += 1
+        assert r["spans"] == ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(spans))
+    assert extra > 20
+
+
 def test_quality_counts(spark, sf_dir, texts):
     for r in QUERIES["op7_quality_rules"](spark, sf_dir).collect():
         text = texts[r["doc_id"]]
