@@ -176,9 +176,8 @@ def _term_documents(docs: DataFrame) -> DataFrame:
 
 def _by_documents(held: DataFrame, name: str) -> DataFrame:
     """``name`` with its number of rows and ``{name}_class``, equal where the rows are the same ones."""
-    digest = [F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(i), "row"), 32)) for i in range(4)]
-    return held.groupBy(name).agg(F.count(F.lit(1)).alias(f"n_{name}"), F.concat_ws(".", *[d.cast("string") for d in digest]).alias(
-        f"{name}_class"))
+    digest = [F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(i), "row"), 32)) for i in range(2)]
+    return held.groupBy(name).agg(F.count(F.lit(1)).alias(f"n_{name}"), F.xxhash64(*digest).alias(f"{name}_class"))
 
 
 def disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
@@ -190,13 +189,13 @@ def disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
     holders = stored(held.join(entities, "entity").select("row", "entity_class", "n_entity").distinct(), "holders")
     words = (found.join(holders.select("row").distinct(), "row", "left_semi")
              .select("row", F.explode(F.array_distinct("words.term")).alias("word")))
-    words = stored(words, "words")
     classes = _by_documents(words, "word").where("n_word > 1").select("word", "word_class")
     # A term of n documents tells at most log(N / n) of an entity; more frequent ones cannot reach the limit for any.
     most = holders.agg(F.max("n_entity").alias("most")).first()["most"] or 1
     counts = _term_documents(docs).where((F.col("n_term") > 1) & (F.col("n_term") * F.col("n_term") <= float(n_docs) * most))
     terms = stored(classes.join(counts.withColumnRenamed("term", "word"), "word"), "terms")
-    spoken = stored(words.join(terms, "word").select("row", "word_class", "n_term").distinct(), "spoken")
+    tagged = stored(words.join(terms, "word").select("row", "word", "word_class", "n_term"), "tagged")
+    spoken = tagged.select("row", "word_class", "n_term").distinct()
     pairs = holders.join(spoken, "row").groupBy("entity_class", "word_class", "n_entity", "n_term").agg(F.count(F.lit(1)).alias("n_pair"))
     k, n, all_docs = F.col("n_pair"), F.col("n_term"), F.lit(float(n_docs))
     information = F.log(all_docs / F.col("n_entity"))
@@ -205,10 +204,9 @@ def disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
     doubt = (DOUBT * F.log(all_docs) + others) / k
     told = stored(pairs.where((k > 1) & ((mutual - doubt) / information >= GENERALISE))
                   .select("entity_class", "word_class", "n_term", (mutual / information).alias("disclosure")), "told")
-    rows = (holders.join(told, "entity_class").join(spoken, ["row", "word_class", "n_term"], "left_semi")
-            .groupBy("row", "word_class", "n_term").agg(F.max("disclosure").alias("disclosure")))
-    return (words.join(terms, "word").join(rows, ["row", "word_class", "n_term"])
-            .select("row", F.col("word").alias("term"), "disclosure"))
+    rows = (holders.join(told, "entity_class").groupBy("row", "word_class", "n_term")
+            .agg(F.max("disclosure").alias("disclosure")))
+    return tagged.join(rows, ["row", "word_class", "n_term"]).select("row", F.col("word").alias("term"), "disclosure")
 
 
 def find(docs: DataFrame) -> DataFrame:
