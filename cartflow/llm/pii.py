@@ -175,20 +175,26 @@ def _term_documents(docs: DataFrame) -> DataFrame:
 
 
 def _by_documents(held: DataFrame, name: str) -> DataFrame:
-    """``name`` with its number of rows and ``{name}_class``, equal where the rows are the same ones."""
+    """``name`` with its number of rows, copies counted, and ``{name}_class``, equal where the rows are the same ones."""
     digest = [F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(i), "row"), 32)) for i in range(2)]
-    return held.groupBy(name).agg(F.count(F.lit(1)).alias(f"n_{name}"), F.xxhash64(*digest).alias(f"{name}_class"))
+    return held.groupBy(name).agg(F.sum("copies").alias(f"n_{name}"), F.xxhash64(*digest).alias(f"{name}_class"))
 
 
 def disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """row, term, and the greatest estimate of those disclosures of the row's entities whose limit reaches ``GENERALISE``."""
+    """text_sha256, term, and the greatest estimate of those disclosures of the text's entities whose limit reaches ``GENERALISE``.
+
+    Copies of a text hold the same entities and terms: one row stands for all of them, with their number.
+    """
     n_docs = found.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    held = found.select("row", F.explode("entities").alias("entity"))
+    texts = stored(found.where(F.size("entities") > 0).groupBy("text_sha256").agg(
+        F.min("row").alias("row"), F.count(F.lit(1)).alias("copies")), "texts")
+    one_each = found.select("row", "entities", "words").join(texts, "row")
+    held = one_each.select("row", "copies", F.explode("entities").alias("entity"))
     # One common document never suffices, and an entity in all documents holds no information.
     entities = stored(_by_documents(held, "entity").where((F.col("n_entity") > 1) & (F.col("n_entity") < n_docs)), "entities")
-    holders = stored(held.join(entities, "entity").select("row", "entity_class", "n_entity").distinct(), "holders")
-    words = (found.join(holders.select("row").distinct(), "row", "left_semi")
-             .select("row", F.explode(F.array_distinct("words.term")).alias("word")))
+    holders = stored(held.join(entities, "entity").select("row", "copies", "entity_class", "n_entity").distinct(), "holders")
+    words = (one_each.join(holders.select("row").distinct(), "row", "left_semi")
+             .select("row", "copies", F.explode(F.array_distinct("words.term")).alias("word")))
     classes = _by_documents(words, "word").where("n_word > 1").select("word", "word_class")
     # A term of n documents tells at most log(N / n) of an entity; more frequent ones cannot reach the limit for any.
     most = holders.agg(F.max("n_entity").alias("most")).first()["most"] or 1
@@ -196,7 +202,7 @@ def disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
     terms = stored(classes.join(counts.withColumnRenamed("term", "word"), "word"), "terms")
     tagged = stored(words.join(terms, "word").select("row", "word", "word_class", "n_term"), "tagged")
     spoken = tagged.select("row", "word_class", "n_term").distinct()
-    pairs = holders.join(spoken, "row").groupBy("entity_class", "word_class", "n_entity", "n_term").agg(F.count(F.lit(1)).alias("n_pair"))
+    pairs = holders.join(spoken, "row").groupBy("entity_class", "word_class", "n_entity", "n_term").agg(F.sum("copies").alias("n_pair"))
     k, n, all_docs = F.col("n_pair"), F.col("n_term"), F.lit(float(n_docs))
     information = F.log(all_docs / F.col("n_entity"))
     mutual = F.log(k * all_docs / (F.col("n_entity") * n.cast("double")))
@@ -206,18 +212,21 @@ def disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
                   .select("entity_class", "word_class", "n_term", (mutual / information).alias("disclosure")), "told")
     rows = (holders.join(told, "entity_class").groupBy("row", "word_class", "n_term")
             .agg(F.max("disclosure").alias("disclosure")))
-    return tagged.join(rows, ["row", "word_class", "n_term"]).select("row", F.col("word").alias("term"), "disclosure")
+    return (tagged.join(rows, ["row", "word_class", "n_term"]).join(texts, "row")
+            .select("text_sha256", F.col("word").alias("term"), "disclosure"))
 
 
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, row, the counts by kind, base_sha256, base, and terms: array of (kind, start, end) the method adds."""
     found = _find(docs)
     told = stored(disclosing(found, docs), "disclosing")
-    occurrences = found.select("row", F.explode("words").alias("x")).select("row", "x.term", "x.start", "x.end")
-    kind = F.when(F.max("disclosure") >= REMOVE, F.lit(1)).otherwise(0)
-    terms = (occurrences.join(told, ["row", "term"]).groupBy("row", "start", "end").agg(kind.alias("kind"))
-             .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("terms")))
-    return found.drop("entities", "words").join(terms, "row", "left")
+    # Terms of one text, each once: bounded by the text's length.
+    flags = told.groupBy("text_sha256").agg(F.map_from_entries(F.collect_list(F.struct(
+        "term", F.when(F.col("disclosure") >= REMOVE, F.lit(1)).otherwise(0).alias("kind")))).alias("kinds"))
+    flagged = F.filter(F.transform("words", lambda w: F.struct(
+        F.col("kinds")[w["term"]].alias("kind"), w["start"].alias("start"), w["end"].alias("end"))), lambda w: w["kind"].isNotNull())
+    return found.join(flags, "text_sha256", "left").withColumn(
+        "terms", F.when(F.col("kinds").isNotNull(), F.array_sort(flagged))).drop("entities", "words", "kinds")
 
 
 def all_spans() -> Column:
