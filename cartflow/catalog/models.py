@@ -5,14 +5,16 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from cartflow.catalog.registry import query
+from cartflow.catalog.sampling import _bits
 from cartflow.catalog.training import STEPS
+from cartflow.operators import boosting as b
 from cartflow.operators import evaluation as e
 from cartflow.operators import features as f
 from cartflow.operators import models as m
-from cartflow.operators.sampling import random_split, sample_per_class, with_part
+from cartflow.operators.sampling import hash_edge, random_split, sample_per_class, with_part
 from cartflow.plans.training import training_table, training_table_complete_rows
 from cartflow.plans.transactions import joined_features, transaction_table
-from cartflow.session import work_folder
+from cartflow.session import materialise, work_folder
 from cartflow.sources import tables as t
 
 
@@ -74,26 +76,58 @@ def _transaction_vectors(spark, sf):
     table, names = transaction_table(train, test)
     vectors = VectorAssembler(inputCols=names, outputCol="features").transform(
         f.with_label(table, "is_fraud"))
-    return m.sized_for_fits(vectors.select("transaction_id", "fold", "label", "features"), "transaction_id")
+    return m.sized_for_fits(vectors.select("transaction_id", "fold", "label", "features"), "transaction_id"), names
+
+
+# The table of the transaction queries: every transaction once, four fifths of them in the training part.
+_TRAINED = f"""
+, k AS (SELECT transaction_id, transaction_dt, is_fraud FROM transactions WHERE {_bits('transaction_id', 7)} < {hash_edge(0.8)}),
+k5 AS (SELECT *, ntile(5) OVER (ORDER BY transaction_dt, transaction_id) - 1 AS fold FROM k)"""
+
+
+def _tuned_on_four_folds(spark, sf):
+    """Held-out rows of the last fold, scored by the tuned model of the other four."""
+    vectors, _ = _transaction_vectors(spark, sf)
+    edges = b.bin_edges(vectors)
+    growing = b.Boosting(edges, m.TUNED_BOOSTING, [4])
+    boosters, scored = growing.fit(b.chunked(vectors, edges, "label", "transaction_id", "fold"), [list(range(len(edges)))])
+    held = materialise(growing.held_out(scored, boosters).withColumn("prediction", (F.col("score") > 0.5).cast("double")))
+    for part in (scored, vectors):
+        part.unpersist()
+    return held
 
 
 @query("m8_tuned_boosted_trees")
 def tuned_boosted_trees(spark, sf):
-    vectors = _transaction_vectors(spark, sf)
-    train, held = vectors.where(F.col("fold") != 4), vectors.where(F.col("fold") == 4)
-    model = m.boosted_trees_tuned().fit(train)
-    row = m.measures(model.transform(held)).first()
+    held = _tuned_on_four_folds(spark, sf)
+    accuracy, area = e.accuracy(held).first()[0], e.area_under_roc(held).first()[0]
+    return m.leaderboard(spark, [(accuracy, float(area), "GBT tuned")])
+
+
+@query("m8_rows_scored", t.with_views(f"""{_TRAINED}
+SELECT count(*) AS n, sum(is_fraud)::BIGINT AS positive, true AS all_between_0_and_1
+FROM k5 WHERE fold = 4""", "transactions"))
+def tuned_rows_scored(spark, sf):
+    return _tuned_on_four_folds(spark, sf).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("label").cast("long").alias("positive"),
+        F.every(F.col("score").between(0, 1)).alias("all_between_0_and_1"))
+
+
+def _eliminated(spark, sf):
+    vectors, names = _transaction_vectors(spark, sf)
+    found = b.eliminate_features(vectors, m.TUNED_BOOSTING, "transaction_id", "fold", names, step=m.ELIMINATION_STEP)
     vectors.unpersist()
-    return m.leaderboard(spark, [(row["accuracy"], row["area_roc"], "GBT tuned")])
+    return found
 
 
 @query("m12_feature_elimination")
 def feature_elimination(spark, sf):
-    vectors = _transaction_vectors(spark, sf)
-    estimator = m.boosted_trees_tuned(maxIter=5, maxDepth=5, stepSize=0.1)
-    scores, ranks = m.eliminate_features(vectors, estimator, "fold", step=5)
-    vectors.unpersist()
-    return ranks
+    return _eliminated(spark, sf)[1]
+
+
+@query("m12_scores_by_feature_count")
+def scores_by_feature_count(spark, sf):
+    return _eliminated(spark, sf)[0]
 
 
 def _search(spark, sf, name, choices):

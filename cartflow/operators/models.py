@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from cartflow.operators import evaluation
+from cartflow.operators.boosting import Settings
 from cartflow.operators.features import fit_features, largest_category, with_label
 from cartflow.operators.sampling import random_split
 from cartflow.schemas import LEADERBOARD
@@ -58,17 +56,12 @@ def boosted_trees_fast(**params) -> GBTClassifier:
     return GBTClassifier(**{"stepSize": 0.1, "maxIter": 100, "maxDepth": 6, **params})
 
 
-def boosted_trees_tuned(**params) -> GBTClassifier:
-    """Slowly learning, deep trees on a part of rows and features.
-
-    Spark grows trees level by level, so a leaf count has no counterpart: depth 9 gives
-    room for the 491 leaves.
-    """
-    return GBTClassifier(**{
-        "stepSize": 0.006883242363721497, "maxIter": 100, "maxDepth": 9, "minInstancesPerNode": 106,
-        "subsamplingRate": 0.4181193142567742, "featureSubsetStrategy": "0.3797454081646243",
-        "seed": 47, **params})
-
+# The tuned settings of slowly learning trees with many leaves. The library they come from draws rows only
+# where a frequency is set (``rows_every``), and none is.
+TUNED_BOOSTING = Settings(
+    trees=100, leaves=491, rate=0.006883242363721497, least_rows=106, least_hessian=0.03454472573214212,
+    l1=0.3899927210061127, l2=0.6485237330340494, feature_share=0.3797454081646243, row_share=0.4181193142567742, seed=47)
+ELIMINATION_STEP = 40
 
 # Display name -> estimator, in the order they are compared.
 MODELS = {
@@ -226,53 +219,3 @@ def feature_importance(model: Model, df: DataFrame, k: int = 10) -> DataFrame:
 
 def save_model(model: PipelineModel | Model, path: str) -> None:
     model.write().overwrite().save(path)
-
-
-def eliminate_features(df: DataFrame, model: Estimator, fold_column: str, folds: int = FOLDS,
-                       step: int = 40, features: str = "features",
-                       parallelism: int = FOLDS) -> tuple[DataFrame, DataFrame]:
-    """Recursive feature elimination with cross-validation.
-
-    In every fold: fit, score the held-out rows, drop the ``step`` least important
-    features, repeat down to one. The feature count with the best mean score is then
-    reached once more on all rows. Folds run side by side, ``parallelism`` at a time.
-    Returns ``(n_features, area_roc)`` and ``(feature, rank)``, where rank 1 means kept.
-    """
-    names = feature_names(df, features)
-    judge = evaluator(model)
-    sizes = [len(names)]
-    while sizes[-1] > 1:
-        sizes.append(max(1, sizes[-1] - step))
-
-    def fit(train: DataFrame, kept: list[int]):
-        slicer = VectorSlicer(inputCol=features, outputCol="_kept", indices=kept)
-        return slicer, model.copy({model.featuresCol: "_kept"}).fit(slicer.transform(train))
-
-    def strongest(kept: list[int], fitted, size: int) -> list[int]:
-        gains = fitted.featureImportances.toArray()
-        return sorted(kept[i] for i in sorted(range(len(kept)), key=lambda i: (-gains[i], i))[:size])
-
-    def fold_scores(fold: int) -> list[float]:
-        train, held = (df.where(F.col(fold_column) != fold), df.where(F.col(fold_column) == fold))
-        kept, scores = list(range(len(names))), []
-        for i, _ in enumerate(sizes):
-            slicer, fitted = fit(train, kept)
-            scores.append(float(judge.evaluate(fitted.transform(slicer.transform(held)))))
-            kept = strongest(kept, fitted, sizes[i + 1]) if i + 1 < len(sizes) else kept
-        return scores
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        per_fold = list(pool.map(inheritable_thread_target(df.sparkSession)(fold_scores), range(folds)))
-    means = [sum(column) / folds for column in zip(*per_fold)]
-    best = max(range(len(sizes)), key=lambda i: (means[i], -sizes[i]))
-
-    kept, rank = list(range(len(names))), {}
-    for i in range(1, best + 1):
-        smaller = strongest(kept, fit(df, kept)[1], sizes[i])
-        rank.update({n: best - i + 2 for n in set(kept) - set(smaller)})
-        kept = smaller
-    rank.update({n: 1 for n in kept})
-    spark = df.sparkSession
-    return (spark.createDataFrame(list(zip(sizes, means)), "n_features int, area_roc double"),
-            spark.createDataFrame([(names[i], r) for i, r in sorted(rank.items())],
-                                  "feature string, rank int"))

@@ -2,7 +2,6 @@
 
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from cartflow.operators import features as f
@@ -88,19 +87,6 @@ def test_saved_model_scores_the_same(data, spark):
     assert one.exceptAll(two).isEmpty()
 
 
-def test_elimination_finds_the_telling_feature(spark):
-    rows = spark.range(600).select(
-        "id", (F.col("id") % 2).cast("double").alias("label"), (F.col("id") % 5).cast("int").alias("fold"),
-        *[(F.xxhash64("id", F.lit(i)) % 50).cast("double").alias(f"noise{i}") for i in range(4)],
-        ((F.col("id") % 2) * 3 + F.col("id") % 3).cast("double").alias("telling"))
-    vectors = VectorAssembler(inputCols=[c for c in rows.columns if c not in ("id", "label", "fold")],
-                              outputCol="features").transform(rows).coalesce(1).persist()
-    scores, ranks = m.eliminate_features(vectors, m.decision_tree(maxDepth=3), "fold", step=2)
-    assert [r.n_features for r in scores.collect()] == [5, 3, 1]
-    assert {r.feature: r["rank"] for r in ranks.collect()}["telling"] == 1
-    assert ranks.count() == 5
-
-
 def test_transaction_table(spark, sf_dir):
     joined = joined_features(t.transactions(spark, sf_dir), t.identity_info(spark, sf_dir), below=20)
     even = F.col("transaction_id") % 2 == 0
