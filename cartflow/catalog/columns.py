@@ -6,6 +6,7 @@ from cartflow.catalog.registry import query
 from cartflow.functions.text import DEVICE_MAKERS, EMAIL_PROVIDER, email_provider, first_match, piece
 from cartflow.operators.columns import dash_to_underscore, rare_to_others, split_identity
 from cartflow.operators.labels import add_is_purchased, targets
+from cartflow.plans.heavy import split_join
 from cartflow.plans.training import TRAINING_COLUMNS, add_item_columns
 from cartflow.sources import tables as t
 
@@ -76,7 +77,7 @@ def qualified_projection(spark, sf):
     events = t.behavior(spark, sf)
     per_product = events.groupBy("product_id").agg(F.count_distinct("user_session").alias("sessions"))
     carts = events.where(F.col("event_type") == "cart").select("event_id", "user_session", "product_id")
-    return carts.alias("a").join(per_product.alias("b"), "product_id").select("a.*", "b.sessions")
+    return split_join(carts, per_product, ["product_id"], "inner").select("event_id", "user_session", "product_id", "sessions")
 
 
 @query("b10_rename_columns", t.with_views("""

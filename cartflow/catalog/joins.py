@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from cartflow.catalog.registry import query
 from cartflow.operators.dedup import TARGET_KEY, keep_first
 from cartflow.operators.labels import (active_users_only, activity_in_session, label_by_join,
-                                       label_by_max, targets, with_activity)
+                                       label_by_max, label_with_copies, targets, with_activity)
+from cartflow.plans.heavy import split_join
 from cartflow.plans.training import FIRST
 from cartflow.sources import tables as t
 
@@ -32,13 +33,13 @@ def label_left_join(spark, sf):
 
 
 @query("c1_label_by_left_join_raw_rows", t.with_views("""
-SELECT a.event_id, CASE WHEN b.user_session IS NULL THEN 0 ELSE 1 END AS is_purchased
+SELECT a.event_id, max(CASE WHEN b.user_session IS NULL THEN 0 ELSE 1 END) AS is_purchased, count(*) AS copies
 FROM (SELECT * FROM behavior WHERE event_type = 'cart') a
 LEFT JOIN (SELECT * FROM behavior WHERE event_type = 'purchase') b
-ON a.user_session = b.user_session AND a.product_id = b.product_id""", "behavior"))
+ON a.user_session = b.user_session AND a.product_id = b.product_id GROUP BY a.event_id""", "behavior"))
 def label_left_join_raw(spark, sf):
-    # Without the duplicates removed a cart row comes out once per purchase row.
-    return label_by_join(t.behavior(spark, sf)).select("event_id", "is_purchased")
+    # Without the duplicates removed the join gives a cart row once per purchase row: counted here, not written out.
+    return label_with_copies(t.behavior(spark, sf)).select("event_id", "is_purchased", "copies")
 
 
 @query("c2_inner_join_activity", t.with_views("""
@@ -49,8 +50,8 @@ ON a.user_session = n.user_session WHERE a.event_type = 'cart'""", "behavior"))
 def inner_join_activity(spark, sf):
     events = t.behavior(spark, sf)
     counts = activity_in_session(events.na.drop(subset=["category_code", "brand"]))
-    return (events.where(F.col("event_type") == "cart").join(counts, "user_session")
-            .select("event_id", "user_session", "activity_count"))
+    carts = events.where(F.col("event_type") == "cart").select("event_id", "user_session")
+    return split_join(carts, counts, ["user_session"], "inner").select("event_id", "user_session", "activity_count")
 
 
 @query("c3_label_by_group_max", t.with_views(DEDUP + """
@@ -69,7 +70,7 @@ ON a.user_session = n.user_session""", "behavior"))
 def left_join_fill_zero(spark, sf):
     events = t.behavior(spark, sf)
     counts = activity_in_session(events.where(F.col("event_type") == "purchase"))
-    return with_activity(events.select("event_id", "user_session"), counts).select(
+    return with_activity(events.select("event_id", "user_session"), counts, split=True).select(
         "event_id", "activity_count")
 
 
@@ -91,13 +92,12 @@ def active_users_sql(spark, sf):
 
 @query("c6_buyers_by_id_table", t.with_views("""
 SELECT event_id, user_id FROM behavior
-WHERE user_id IN (SELECT user_id FROM behavior WHERE event_type = 'purchase' AND price > 901)""", "behavior"))
+WHERE user_id IN (SELECT user_id FROM behavior WHERE event_type IN ('cart', 'purchase'))""", "behavior"))
 def buyers_by_id_table(spark, sf):
     # The id list stays a table; it is never collected into the plan.
     events = t.behavior(spark, sf)
-    ids = (events.where((F.col("event_type") == "purchase") & (F.col("price") > 901))
-           .select("user_id").distinct())
-    return events.join(ids, "user_id", "left_semi").select("event_id", "user_id")
+    ids = targets(events).select("user_id").distinct()
+    return split_join(events.select("event_id", "user_id"), ids, ["user_id"], "inner").select("event_id", "user_id")
 
 
 @query("c7_transaction_identity", t.with_views("""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartflow.plans.heavy import split_join
 from cartflow.session import materialise
 
 TARGET_TYPES = ["cart", "purchase"]
@@ -44,22 +45,26 @@ def label_by_max(df: DataFrame) -> DataFrame:
     return df.join(label, same).select(*df.columns, "is_purchased")
 
 
-def label_by_join(df: DataFrame) -> DataFrame:
-    """Cart rows left-joined to the purchase rows of the same item and session.
+def label_with_copies(df: DataFrame) -> DataFrame:
+    """Cart rows with ``is_purchased`` and ``copies``: how often a left join to the purchase rows would give each.
 
-    A cart row comes out once for every matching purchase row, as the join says, but the
-    purchases are counted per item first: the join itself is one to one and the copies
-    are made afterwards.
+    The purchases are counted per item first, so the join is one to one.
     """
     # Stored, so that adaptive execution can split a hot key of the carts.
     bought = materialise(df.where(F.col("event_type") == "purchase").groupBy(*ITEM)
-                         .agg(F.count(F.lit(1)).alias("_purchases")))
+                         .agg(F.count(F.lit(1)).alias("_purchases")), eager=False)
     carts = df.where(F.col("event_type") == "cart").join(bought, ITEM, "left")
-    copies = F.sequence(F.lit(1), F.coalesce("_purchases", F.lit(1)).cast("int"))
-    return carts.select(
-        *df.columns,
-        F.when(F.col("_purchases").isNotNull(), 1).otherwise(0).alias("is_purchased"),
-        F.explode(copies).alias("_copy")).drop("_copy")
+    return carts.select(*df.columns, F.when(F.col("_purchases").isNotNull(), 1).otherwise(0).alias("is_purchased"),
+                        F.coalesce("_purchases", F.lit(1)).alias("copies"))
+
+
+def label_by_join(df: DataFrame) -> DataFrame:
+    """Cart rows left-joined to the purchase rows of the same item and session.
+
+    A cart row comes out once for every matching purchase row, as the join says; of data without duplicates that is once.
+    """
+    copies = F.sequence(F.lit(1), F.col("copies").cast("int"))
+    return label_with_copies(df).select(*df.columns, "is_purchased", F.explode(copies).alias("_copy")).drop("_copy")
 
 
 def activity_in_session(df: DataFrame) -> DataFrame:
@@ -79,7 +84,11 @@ def activity_of_active_users(df: DataFrame) -> DataFrame:
             .groupBy("user_session").agg(F.sum("n").alias("activity_count")))
 
 
-def with_activity(df: DataFrame, activity: DataFrame, how: str = "left") -> DataFrame:
-    """Attach ``activity_count`` by session; a session without one gets 0."""
-    return (df.join(activity, "user_session", how)
-              .select(*df.columns, "activity_count").fillna(0, subset=["activity_count"]))
+def with_activity(df: DataFrame, activity: DataFrame, how: str = "left", split: bool = False) -> DataFrame:
+    """Attach ``activity_count`` by session; a session without one gets 0.
+
+    With ``split`` sessions that hold much of ``df`` are joined where they are read (``split_join``); ``df`` is then
+    read several times, so it should be cheap to read.
+    """
+    joined = split_join(df, activity, ["user_session"], how) if split else df.join(activity, "user_session", how)
+    return joined.select(*df.columns, "activity_count").fillna(0, subset=["activity_count"])

@@ -16,9 +16,12 @@ from cartflow.functions.time import weekday_monday_first_text, weekday_sunday_fi
 from cartflow.operators.dedup import TARGET_KEY, keep_first
 from cartflow.operators.labels import (ITEM, activity_in_session, activity_of_active_users,
                                        add_is_purchased, label_by_join, targets, with_activity)
+from cartflow.plans.heavy import split_join
+from cartflow.session import materialise
 
 FIRST = ["event_time", "event_id"]
 
+# The columns of the training table, in their order.
 TRAINING_COLUMNS = [
     "category_id_id1", "category_id_id2", "category_id_id3", "category_code_level1_f",
     "category_code_level2_f", "category_code_level3_f", "brand_f", "price", "dt_hour", "dt_day",
@@ -102,8 +105,11 @@ def training_table_complete_rows(events: DataFrame, first_row_complete: bool = T
     """``first_row_complete`` keeps a user only if the first cart or purchase row has no null."""
     first_rows = keep_first(targets(events), ["user_id"], FIRST)
     users = (first_rows.na.drop("any") if first_row_complete else first_rows).select("user_id")
-    activity = activity_in_session(
-        events.join(users, "user_id", "left_semi").where(F.col("user_session").isNotNull()))
+    # Reduced to one row per (session, user) before users are matched; a user of very many sessions is split.
+    per_user = materialise(events.where(F.col("user_session").isNotNull()).groupBy("user_session", "user_id")
+                           .agg(F.count(F.lit(1)).alias("n")))
+    activity = (split_join(per_user, users, ["user_id"], "inner")
+                .groupBy("user_session").agg(F.sum("n").alias("activity_count")))
     items = carted_items(events).na.drop("any")
     return with_activity(items.withColumns({
         "event_weekday": weekday_monday_first_text("event_time"),

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from cartflow.plans.ordered import positions
 from cartflow.session import materialise
 
-PRODUCTS = 20
+# A visitor looks at an aisle of this many products; the aisles of all visitors cover the whole product table.
+AISLE = 20
 
 
 # Declared, so that building a plan reads no file.
@@ -32,13 +33,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shop_events(events: DataFrame, part: DataFrame) -> DataFrame:
     """Shop events from raw events and the product table; works on a stream too.
 
-    Only products 0 to 19 can match and ``p_partkey`` is the table's primary key, so the
-    broadcast side has at most 20 rows however large the product table is.
+    The number in ``props`` is a place in the visitor's aisle, counted on through the product table and around its end.
+    Adaptive execution chooses the join by the measured size of the products.
     """
     key = F.col("p_partkey")
+    products_in_all = part.count()
     level2, level3 = (F.split_part("p_name", F.lit(" "), F.lit(i)) for i in (2, 1))
     stem = F.concat(F.lower("p_type"), F.lit("."), level2)
-    products = part.where(key.between(0, PRODUCTS - 1)).select(
+    products = part.select(
         key.alias("product_id"),
         (F.lit(2053013552000000000) + key * F.lit(10000000003)).alias("category_id"),
         F.when(key % 5 == 0, None).when(key % 2 == 0, stem)
@@ -50,10 +52,11 @@ def shop_events(events: DataFrame, part: DataFrame) -> DataFrame:
         "event_id", F.col("ts").alias("event_time"),
         F.when(F.col("event_type") == "purchase", "purchase")
          .when(F.col("event_type") == "click", "cart").otherwise("view").alias("event_type"),
-        (F.regexp_extract("props", "([0-9]+)", 1).cast("bigint") % PRODUCTS).alias("product_id"),
+        ((F.regexp_extract("props", "([0-9]+)", 1).cast("bigint") % AISLE + F.col("user_id") * AISLE)
+         % products_in_all).alias("product_id"),
         "user_id",
         F.concat(F.col("user_id").cast("string"), F.lit("-"), week).alias("user_session"))
-    return rows.join(F.broadcast(products), "product_id").select(
+    return rows.join(products, "product_id").select(
         "event_id", "event_time", "event_type", "product_id", "category_id", "category_code",
         "brand", "price", "user_id", "user_session")
 
@@ -149,7 +152,8 @@ SELECT e.event_id,
        CAST(e.user_id AS VARCHAR(20)) || '-' ||
          CAST(CAST(date_trunc('week', e.ts) AS DATE) AS VARCHAR(20)) AS user_session
 FROM events e
-JOIN part p ON p.p_partkey = CAST(regexp_extract(e.props, '([0-9]+)', 1) AS BIGINT) % 20""",
+JOIN part p ON p.p_partkey = (CAST(regexp_extract(e.props, '([0-9]+)', 1) AS BIGINT) % 20 + e.user_id * 20)
+                             % (SELECT count(*) FROM part)""",
     "transactions": """
 SELECT o_orderkey AS transaction_id,
        CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_fraud,
