@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from cartflow.llm.common import blocks, id_and_text, stored
 from cartflow.llm.words import HASH_BITS, HASH_MASK, NO_LETTER, WordBlock
+from cartflow.plans.bitmap import may_match
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("generalised", "removed")
@@ -176,26 +177,28 @@ def _term_documents(docs: DataFrame) -> DataFrame:
 
 def _by_documents(held: DataFrame, name: str) -> DataFrame:
     """``name`` with its number of rows, copies counted, and ``{name}_class``, equal where the rows are the same ones."""
-    digest = [F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(i), "row"), 32)) for i in range(2)]
-    return held.groupBy(name).agg(F.sum("copies").alias(f"n_{name}"), F.xxhash64(*digest).alias(f"{name}_class"))
+    return held.groupBy(name).agg(F.sum("copies").alias(f"n_{name}"), _documents_digest().alias(f"{name}_class"))
+
+
+def _documents_digest() -> Column:
+    return F.xxhash64(*[F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(i), "row"), 32)) for i in range(2)])
 
 
 def disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """text_sha256, term, and the greatest estimate of those disclosures of the text's entities whose limit reaches ``GENERALISE``.
+    """text_key (a hash of text_sha256), term, and the greatest estimate of those disclosures of the text's entities whose limit reaches ``GENERALISE``.
 
     Copies of a text hold the same entities and terms: one row stands for all of them, with their number.
     """
     n_docs = found.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     texts = stored(found.where(F.size("entities") > 0).groupBy("text_sha256").agg(
         F.min("row").alias("row"), F.count(F.lit(1)).alias("copies")), "texts")
-    one_each = found.select("row", "entities", "words").join(texts, "row")
-    held = one_each.select("row", "copies", F.explode("entities").alias("entity"))
+    held = (found.select("row", F.explode("entities").alias("entity")).join(texts.select("row", "copies"), "row"))
     # One common document never suffices, and an entity in all documents holds no information.
     entities = stored(_by_documents(held, "entity").where((F.col("n_entity") > 1) & (F.col("n_entity") < n_docs)), "entities")
     holders = stored(held.join(entities, "entity").select("row", "copies", "entity_class", "n_entity").distinct(), "holders")
-    words = (one_each.join(holders.select("row").distinct(), "row", "left_semi")
-             .select("row", "copies", F.explode(F.array_distinct("words.term")).alias("word")))
-    classes = _by_documents(words, "word").where("n_word > 1").select("word", "word_class")
+    # Words of a few other texts get through as well: they may part classes, but meet no entity.
+    words = may_match(found.select("row", "words"), "row", holders).select("row", F.explode(F.array_distinct("words.term")).alias("word"))
+    classes = words.groupBy("word").agg(_documents_digest().alias("word_class"))
     # A term of n documents tells at most log(N / n) of an entity; more frequent ones cannot reach the limit for any.
     most = holders.agg(F.max("n_entity").alias("most")).first()["most"] or 1
     counts = _term_documents(docs).where((F.col("n_term") > 1) & (F.col("n_term") * F.col("n_term") <= float(n_docs) * most))
@@ -213,20 +216,20 @@ def disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
     rows = (holders.join(told, "entity_class").groupBy("row", "word_class", "n_term")
             .agg(F.max("disclosure").alias("disclosure")))
     return (tagged.join(rows, ["row", "word_class", "n_term"]).join(texts, "row")
-            .select("text_sha256", F.col("word").alias("term"), "disclosure"))
+            .select(F.xxhash64("text_sha256").alias("text_key"), F.col("word").alias("term"), "disclosure"))
 
 
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, row, the counts by kind, base_sha256, base, and terms: array of (kind, start, end) the method adds."""
     found = _find(docs)
     told = stored(disclosing(found, docs), "disclosing")
-    # Terms of one text, each once: bounded by the text's length.
-    flags = told.groupBy("text_sha256").agg(F.map_from_entries(F.collect_list(F.struct(
-        "term", F.when(F.col("disclosure") >= REMOVE, F.lit(1)).otherwise(0).alias("kind")))).alias("kinds"))
-    flagged = F.filter(F.transform("words", lambda w: F.struct(
-        F.col("kinds")[w["term"]].alias("kind"), w["start"].alias("start"), w["end"].alias("end"))), lambda w: w["kind"].isNotNull())
-    return found.join(flags, "text_sha256", "left").withColumn(
-        "terms", F.when(F.col("kinds").isNotNull(), F.array_sort(flagged))).drop("entities", "words", "kinds")
+    spoken = found.select("row", F.xxhash64("text_sha256").alias("text_key"), "words")
+    occurrences = may_match(spoken, "text_key", told).select("row", "text_key", F.explode("words").alias("x")).select(
+        "row", "text_key", "x.term", "x.start", "x.end")
+    kind = F.when(F.col("disclosure") >= REMOVE, F.lit(1)).otherwise(0)
+    terms = (occurrences.join(told, ["text_key", "term"]).groupBy("row")
+             .agg(F.array_sort(F.collect_list(F.struct(kind.alias("kind"), "start", "end"))).alias("terms")))
+    return found.drop("entities", "words").join(terms, "row", "left")
 
 
 def all_spans() -> Column:
