@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from cartflow.catalog.registry import query
 from cartflow.catalog.training import STEPS
 from cartflow.operators import features as f
+from cartflow.operators.indexing import TableIndexer, TableIndexModel
 from cartflow.operators.models import sized_for_fits
 from cartflow.plans.training import add_category_levels, carted_items, training_table
+from cartflow.session import work_folder
 from cartflow.sources import tables as t
 
 
@@ -110,6 +112,19 @@ def feature_stages(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
+@query("p8_table_index_saved_and_reloaded", t.with_views("""
+, v AS (SELECT user_session AS value, row_number() OVER (ORDER BY count(*) DESC, user_session) - 1 AS code
+        FROM behavior WHERE event_type = 'cart' GROUP BY user_session),
+k AS (SELECT count(*) AS n FROM v)
+SELECT event_id, CAST(coalesce(v.code, k.n) AS DOUBLE) AS session_index
+FROM behavior b LEFT JOIN v ON v.value = b.user_session, k""", "behavior"))
+def table_index_saved_and_reloaded(spark, sf):
+    events, path = t.behavior(spark, sf), work_folder(spark, "model")
+    indexer = TableIndexer(inputCols=["user_session"], outputCols=["session_index"])
+    indexer.fit(events.where(F.col("event_type") == "cart")).save(path)
+    return TableIndexModel.load(path).transform(events).select("event_id", "session_index")
+
+
 @query("p9_model_columns", t.with_views("""
 , f AS (SELECT event_id, string_split(category_code, '.')[1] AS level1 FROM behavior WHERE event_type = 'cart')
 SELECT event_id, level1 AS category_code_level1 FROM f""", "behavior"))

@@ -31,12 +31,19 @@ _TOP = "(SELECT count(*) AS n FROM transactions GROUP BY {c})"
 
 
 @query("d14_dominant_values", t.with_views(_per_column(
-    "SELECT '{c}' AS column_name, CASE WHEN max(n) / sum(n) > 0.9 THEN round(max(n) / sum(n), 6) END AS top_ratio, "
+    "SELECT '{c}' AS column_name, round(max(n) / sum(n), 6) AS top_ratio, "
     f"max(n) / sum(n) > 0.9 AS is_dominated FROM {_TOP}"), "transactions"))
 def dominant_values(spark, sf):
     return p.dominant_values(t.transactions(spark, sf)).withColumn("top_ratio", F.round("top_ratio", 6))
 
 
+@query("d14_dominant_values_at_a_low_limit", t.with_views(_per_column(
+    "SELECT '{c}' AS column_name, round(max(n) / sum(n), 6) AS top_ratio, "
+    f"max(n) / sum(n) > 0.1 AS is_dominated FROM {_TOP}"), "transactions"))
+def dominant_values_low(spark, sf):
+    return p.dominant_values(t.transactions(spark, sf), limit=0.1).withColumn("top_ratio", F.round("top_ratio", 6))
+
+
 _PROFILE = _per_column(
     "SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, "
     "avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS null_ratio, "

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 from cartflow.catalog.models import prepared
 from cartflow.catalog.registry import query
 from cartflow.operators import models as m
-from cartflow.operators.labels import activity_of_active_users, with_activity
-from cartflow.session import materialise, work_folder
+from cartflow.session import work_folder
 from cartflow.sources import tables as t
 from cartflow.sources.collections import Collections
-from cartflow.streaming import replay, sink, stream
+from cartflow.streaming import replay, sink, state, stream
 
 CHUNK_ROWS = 1000
 FILES_PER_TRIGGER = 1000
@@ -112,19 +111,32 @@ def throughput_sliding(spark, sf):
     return sink.latest(spark, path, _WINDOW).withColumn("price_sum", F.round("price_sum", 6))
 
 
-@query("s8_late_rows")
+_QUARTERS, _FILES = 4, 4
+
+
+@query("s8_late_rows", t.with_views(f"""
+, q AS (SELECT event_time, (row_number() OVER (ORDER BY event_time, event_id) - 1)
+               // greatest(1, CAST(ceil(count(*) OVER () / {_QUARTERS}.0) AS BIGINT)) AS chunk FROM behavior),
+w AS (SELECT epoch_ms(max(event_time)) - 3600000 AS watermark_ms FROM q WHERE chunk = (SELECT max(chunk) FROM q))
+SELECT 'dropped' AS outcome, count(*) AS n FROM q, w
+WHERE chunk < (SELECT max(chunk) FROM q) - 1 AND epoch_us(event_time) <= watermark_ms * 1000
+UNION ALL SELECT 'read', count(*) FROM q""", "behavior"))
 def late_rows(spark, sf):
-    # All chunks arrive, last first, so all but the first are behind the watermark.
+    """All chunks arrive, last first, one a micro-batch. A batch drops the rows behind the watermark that the batch before
+    it began with, so the first chunk's watermark is felt from the third chunk on."""
     staged, arrived = work_folder(spark, "replay"), work_folder(spark, "arrived")
     events = t.behavior(spark, sf)
-    replay.stage_chunks(events, staged, max(1, -(-events.count() // 4)))
+    replay.stage_chunks(events, staged, max(1, -(-events.count() // _QUARTERS)))
     chunks = spark.read.parquet(staged)
-    for chunk in (3, 2, 1, 0):
-        chunks.where(F.col("chunk") == chunk).drop("chunk").coalesce(1).write.mode("append").parquet(arrived)
-    source = stream.file_stream(spark, arrived, events.schema, files_per_trigger=1)
-    running = sink.finish(sink.write_batches(
-        stream.throughput(source, late="1 hour"), work_folder(spark, "updates")))
-    return spark.createDataFrame([("dropped", sink.late_rows(running))], "outcome string, partial_rows bigint")
+    for chunk in sorted((r["chunk"] for r in chunks.select("chunk").distinct().collect()), reverse=True):
+        chunks.where(F.col("chunk") == chunk).drop("chunk").repartition(_FILES).write.mode("append").parquet(arrived)
+    source = stream.file_stream(spark, arrived, events.schema, files_per_trigger=_FILES)
+    # No two rows share an id, so nothing but late rows is left out, and each is counted by itself.
+    once = stream.zoned(source).withWatermark("event_time", "1 hour").dropDuplicatesWithinWatermark(["event_id"])
+    with sink.progress_totals(spark) as listener:
+        running = sink.finish(sink.write_batches(once, work_folder(spark, "updates"), "append"))
+        found = sink.totals_of(listener, running)
+    return spark.createDataFrame([("dropped", found["dropped_rows"]), ("read", found["input_rows"])], "outcome string, n bigint")
 
 
 @query("s9_running_labels", t.with_views("""
@@ -135,14 +147,47 @@ def running_labels(spark, sf):
     return sink.latest(spark, path, stream.ITEM)
 
 
+def replayed(spark, sf, batches=6):
+    """The shop events in time order, as files that are read a few at a time: several micro-batches."""
+    staged, arrived = work_folder(spark, "replay"), work_folder(spark, "arrived")
+    events = t.behavior(spark, sf)
+    replay.stage_chunks(events, staged, max(1, -(-events.count() // batches)))
+    for _ in replay.publish(spark.read.parquet(staged), arrived):
+        pass
+    return stream.zoned(stream.file_stream(spark, arrived, events.schema, files_per_trigger=1))
+
+
+@query("s6_session_counts_with_life_time", t.with_views("""
+SELECT user_session, count(*) AS activity_count FROM behavior GROUP BY user_session""", "behavior"))
+def session_counts_with_life_time(spark, sf):
+    path = _run(state.session_counts(replayed(spark, sf)), "append")
+    return spark.read.parquet(path).groupBy("user_session").agg(F.max("activity_count").alias("activity_count"))
+
+
+@query("s9_running_labels_with_life_time", t.with_views("""
+SELECT user_session, product_id, CAST(max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS INTEGER) AS is_purchased
+FROM behavior WHERE event_type IN ('cart', 'purchase') GROUP BY user_session, product_id""", "behavior"))
+def running_labels_with_life_time(spark, sf):
+    return sink.latest(spark, _run(state.running_labels(replayed(spark, sf)), "append"), stream.ITEM)
+
+
+@query("s10_running_activity", t.with_views("""
+, n AS (SELECT *, row_number() OVER (PARTITION BY user_session ORDER BY event_time, event_id) AS activity_count FROM behavior)
+SELECT event_id, user_session, product_id, activity_count FROM n WHERE event_type = 'cart'""", "behavior"))
+def running_activity(spark, sf):
+    counted = state.running_counts(replayed(spark, sf)).where(F.col("event_type") == "cart")
+    return sink.appended(spark, _run(counted.select("event_id", "user_session", "product_id", "activity_count"), "append"))
+
+
 @query("s10_score_stream")
 def score_stream(spark, sf):
     data, path = prepared(spark, sf), work_folder(spark, "model")
     m.save_model(PipelineModel([*data.features.stages, m.estimator("LR").fit(data.train)]), path)
     data.release()
-    carts = stream.transform_events(shop_stream(spark, sf).where(F.col("event_type") == "cart"))
-    # The stored session counts (what s6 keeps up to date) give each cart the column the model was trained on.
-    counts = materialise(activity_of_active_users(t.behavior(spark, sf)))
-    scored = stream.score_stream(with_activity(carts, counts), PipelineModel.load(path))
-    return sink.appended(spark, _run(scored.select("event_id", "user_session", "product_id", "prediction"),
-                                     "append"))
+    # The count that the model asks for is kept by the same stream: no cart sees an event after it.
+    events = replayed(spark, sf)
+    counted = state.running_counts(events).where(F.col("event_type") == "cart")
+    products = t.products(t.table(spark, sf, "part"))
+    carts = stream.transform_events(counted.join(products, "product_id"))
+    scored = stream.score_stream(carts, PipelineModel.load(path))
+    return sink.appended(spark, _run(scored.select("event_id", "user_session", "product_id", "activity_count", "prediction"), "append"))

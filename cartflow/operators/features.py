@@ -17,8 +17,7 @@ CATEGORICAL = ["category_id_id1", "brand_f", "category_code_level1_f", "category
 NUMERIC = ["price", "activity_count"]
 ONE_HOT = ["week_day", "dt_day", "dt_hour"]
 
-# A fitted string index is kept whole on the driver; more values than this belong in
-# ``index_values``, which keeps the mapping as a table.
+# Spark's fitted string index is kept whole on the driver; columns with more values get an index that is a table.
 MAX_INDEXED_VALUES = 100_000
 
 
@@ -77,26 +76,31 @@ def scale_to_unit_deviation(df: DataFrame, columns: list[str], suffix: str = "_s
     return out
 
 
-def check_cardinality(df: DataFrame, columns: list[str], limit: int = MAX_INDEXED_VALUES) -> dict[str, int]:
-    """Distinct values per column; an error when a driver-side index would be too large."""
+def wide_columns(df: DataFrame, columns: list[str], limit: int = MAX_INDEXED_VALUES) -> list[str]:
+    """Columns with about more than ``limit`` distinct values, whose index should stay a table."""
     sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
-    wide = {c: n for c, n in sizes.items() if n > limit}
-    if wide:
-        raise ValueError(f"too many values to index on the driver: {wide}; "
-                         "group rare values first or use index_values")
-    return sizes
+    return [c for c in columns if sizes[c] > limit]
 
 
 def feature_stages(categorical: list[str] = CATEGORICAL, numeric: list[str] = NUMERIC,
-                   one_hot: list[str] = ONE_HOT) -> Pipeline:
+                   one_hot: list[str] = ONE_HOT, wide: list[str] = ()) -> Pipeline:
     """Index text, scale numbers, encode small integers, assemble ``features``.
 
     Unseen and null texts get an index of their own, so scoring never fails on new data.
+    The ``wide`` ones of the categorical columns are indexed by a table (``TableIndexer``).
     """
+    from cartflow.operators.indexing import TableIndexer
+
     indexed = [f"{c}_index" for c in categorical]
     coded = [f"{c}_coded" for c in one_hot]
+    narrow = [c for c in categorical if c not in wide]
+    indexes = []
+    if narrow:
+        indexes.append(StringIndexer(inputCols=narrow, outputCols=[f"{c}_index" for c in narrow], handleInvalid="keep"))
+    if wide:
+        indexes.append(TableIndexer(inputCols=list(wide), outputCols=[f"{c}_index" for c in wide]))
     return Pipeline(stages=[
-        StringIndexer(inputCols=categorical, outputCols=indexed, handleInvalid="keep"),
+        *indexes,
         VectorAssembler(inputCols=numeric, outputCol="numeric_vector"),
         StandardScaler(inputCol="numeric_vector", outputCol="numeric_scaled"),
         OneHotEncoder(inputCols=one_hot, outputCols=coded, handleInvalid="keep"),
@@ -117,11 +121,11 @@ def fit_features(train: DataFrame, everything: DataFrame | None = None,
     """Fit the feature stages on the training part.
 
     Pass ``everything`` to fit on all rows before the split instead, the leaky order
-    some published results used.
+    some published results used. Columns beyond ``max_values`` values keep their index as a table.
     """
     fit_on = everything if everything is not None else train
-    check_cardinality(fit_on, columns.get("categorical", CATEGORICAL), max_values)
-    return feature_stages(**columns).fit(fit_on)
+    wide = wide_columns(fit_on, columns.get("categorical", CATEGORICAL), max_values)
+    return feature_stages(**columns, wide=wide).fit(fit_on)
 
 
 def largest_category(model: PipelineModel) -> int:

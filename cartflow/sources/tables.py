@@ -30,23 +30,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shop_events(events: DataFrame, part: DataFrame) -> DataFrame:
-    """Shop events from raw events and the product table; works on a stream too.
-
-    The number in ``props`` is a place in the visitor's aisle, counted on through the product table and around its end.
-    Adaptive execution chooses the join by the measured size of the products.
-    """
+def products(part: DataFrame) -> DataFrame:
+    """The product side of the shop: ids, category codes, brands and prices."""
     key = F.col("p_partkey")
-    products_in_all = part.count()
     level2, level3 = (F.split_part("p_name", F.lit(" "), F.lit(i)) for i in (2, 1))
     stem = F.concat(F.lower("p_type"), F.lit("."), level2)
-    products = part.select(
+    return part.select(
         key.alias("product_id"),
         (F.lit(2053013552000000000) + key * F.lit(10000000003)).alias("category_id"),
         F.when(key % 5 == 0, None).when(key % 2 == 0, stem)
          .otherwise(F.concat(stem, F.lit("."), level3)).alias("category_code"),
         F.when(key % 7 != 0, F.lower("p_brand")).alias("brand"),
         F.col("p_retailprice").alias("price"))
+
+
+def shop_events(events: DataFrame, part: DataFrame) -> DataFrame:
+    """Shop events from raw events and the product table; works on a stream too.
+
+    The number in ``props`` is a place in the visitor's aisle, counted on through the product table and around its end.
+    Adaptive execution chooses the join by the measured size of the products.
+    """
+    products_in_all = part.count()
     week = F.date_trunc("week", "ts").cast("date").cast("string")
     rows = events.select(
         "event_id", F.col("ts").alias("event_time"),
@@ -56,7 +60,7 @@ def shop_events(events: DataFrame, part: DataFrame) -> DataFrame:
          % products_in_all).alias("product_id"),
         "user_id",
         F.concat(F.col("user_id").cast("string"), F.lit("-"), week).alias("user_session"))
-    return rows.join(products, "product_id").select(
+    return rows.join(products(part), "product_id").select(
         "event_id", "event_time", "event_type", "product_id", "category_id", "category_code",
         "brand", "price", "user_id", "user_session")
 

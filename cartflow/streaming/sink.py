@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from cartflow.session import work_folder
 from cartflow.sources.collections import BATCH
@@ -82,10 +83,51 @@ def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return newest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped because the watermark had passed them (counted after partial aggregation).
+class ProgressTotals(StreamingQueryListener):
+    """Adds up what the progress reports of all micro-batches say, however many there are.
 
-    Covers the progress reports the query still holds
-    (``spark.sql.streaming.numRecentProgressUpdates``, 100 by default).
+    ``totals[query id]`` has batches, input_rows, dropped_rows (by the watermark, counted where a stateful operator drops
+    them), and state_rows, the state's rows after the last batch.
     """
-    return sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
+
+    def __init__(self):
+        self.totals: dict[str, dict[str, int]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        total = self.totals.setdefault(str(progress.id), dict.fromkeys(("batches", "input_rows", "dropped_rows", "state_rows"), 0))
+        total["batches"] += 1
+        total["input_rows"] += progress.numInputRows
+        total["dropped_rows"] += sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+        total["state_rows"] = sum(s.numRowsTotal for s in progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.totals.setdefault(str(event.id), {})["ended"] = 1
+
+
+@contextmanager
+def progress_totals(spark: SparkSession):
+    """A ``ProgressTotals`` that listens to queries inside."""
+    listener = ProgressTotals()
+    spark.streams.addListener(listener)
+    try:
+        yield listener
+    finally:
+        spark.streams.removeListener(listener)
+
+
+def totals_of(listener: ProgressTotals, query: StreamingQuery, patience: float = 30.0) -> dict[str, int]:
+    """The totals of an ended query. Reports come a little later than the batches, so the end is waited for."""
+    until = time.monotonic() + patience
+    while "ended" not in listener.totals.get(str(query.id), {}) and time.monotonic() < until:
+        time.sleep(0.05)
+    found = {"batches": 0, "input_rows": 0, "dropped_rows": 0, "state_rows": 0, **listener.totals.get(str(query.id), {})}
+    if "ended" not in found:
+        raise TimeoutError("the query's end was not reported")
+    return found

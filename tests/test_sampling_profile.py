@@ -1,12 +1,14 @@
 """Sampling, splitting, profiles, histograms, codes."""
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from cartflow.operators import features as f
 from cartflow.operators import profile as p
 from cartflow.operators import sampling as s
 from cartflow.operators.explore import histogram, share_of_total
+from cartflow.session import work_folder
 
 
 @pytest.fixture(scope="module")
@@ -69,14 +71,19 @@ def test_useless_columns(wide):
     assert exact == {"empty", "leading", "same", "sparse"}
 
 
-def test_limit_too_low_for_the_sketch(wide):
-    with pytest.raises(ValueError, match="at least 0.6"):
-        p.dominant_values(wide, limit=0.5)
+@pytest.mark.parametrize("limit", [0.9, 0.5, 0.04])
+def test_any_limit_gives_exact_shares(spark, wide, limit):
+    many = wide.withColumn("spread", F.when(F.col("id") % 10 == 0, -1).otherwise(F.col("id") % 700))
+    rows = {r["column_name"]: (r["top_ratio"], r["is_dominated"]) for r in p.dominant_values(many, limit=limit).collect()}
+    exact = {r["column_name"]: r["top_ratio"] for r in p.column_profile(many).collect()}
+    assert rows == {c: (pytest.approx(share), share > limit) for c, share in exact.items()}
+    useless = p.useless_columns([many], limit=limit)
+    assert set(useless) >= {c for c, share in exact.items() if share > limit}
 
 
 def test_dominant_share_is_exact(wide):
     rows = {r["column_name"]: r["top_ratio"] for r in p.dominant_values(wide).collect()}
-    assert rows["leading"] == 0.95 and rows["sparse"] == 0.95 and rows["mixed"] is None
+    assert rows["leading"] == 0.95 and rows["sparse"] == 0.95 and rows["mixed"] == 0.875
 
 
 def test_narrowing(spark):
@@ -112,9 +119,20 @@ def test_codes(spark, max_rows):
     assert [(r.value, r.code) for r in texts.orderBy("code").collect()] == [("a", 0), ("nan", 1), ("x", 2), ("y", 3)]
 
 
-def test_too_many_values_for_a_driver_index(rows):
-    with pytest.raises(ValueError, match="too many values"):
-        f.check_cardinality(rows, ["id"], limit=100)
+def test_wide_column_gets_a_table_index(spark):
+    """A million values, saved and reloaded; null and unseen values; both join forms."""
+    rows = spark.range(1_000_000).select(F.concat(F.lit("v"), F.col("id")).alias("wide"), (F.col("id") % 3).cast("string").alias("narrow"))
+    rows = rows.unionByName(rows.limit(1)).coalesce(8)
+    assert f.wide_columns(rows, ["wide", "narrow"]) == ["wide"]
+    model = f.feature_stages(["wide", "narrow"], [], [], wide=["wide"]).getStages()[1]
+    model = model.fit(rows)
+    path = work_folder(spark, "model")
+    PipelineModel([model]).save(path)
+    again = PipelineModel.load(path).stages[0]
+    asked = spark.createDataFrame([("v0",), ("v1",), ("v10",), ("nowhere",), (None,)], "wide string")
+    for one in (model.transform(asked), again.transform(asked), again._transform(asked, max_rows=10)):
+        assert {r["wide"]: r["wide_index"] for r in one.collect()} == {"v0": 0, "v1": 1, "v10": 2, "nowhere": 1e6, None: 1e6}
+    assert again.transform(rows).agg(F.count_distinct("wide_index")).first()[0] == 1_000_000
 
 
 def test_hash_spreads_and_repeats(spark):

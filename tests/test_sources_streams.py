@@ -11,7 +11,7 @@ from cartflow.session import checkpoint_root, work_folder
 from cartflow.sources.collections import Collections
 from cartflow.sources.files import read_csv, read_extended_json, write_csv, write_events
 from cartflow.sources.tables import behavior
-from cartflow.streaming import replay, sink, stream
+from cartflow.streaming import replay, sink, state, stream
 
 
 @pytest.fixture(scope="module")
@@ -113,11 +113,62 @@ def test_windows_in_time_order_lose_nothing_and_unordered_are_late(spark, shop):
     dropped = []
     for folder in (ordered, backwards):
         source = stream.file_stream(spark, folder, EVENTS_WITH_ID, files_per_trigger=1)
-        query = sink.finish(sink.write_batches(stream.throughput(source, late="1 hour"), work_folder(spark, "u")))
-        dropped.append(sink.late_rows(query))
+        with sink.progress_totals(spark) as listener:
+            query = sink.finish(sink.write_batches(stream.throughput(source, late="1 hour"), work_folder(spark, "u")))
+            dropped.append(sink.totals_of(listener, query)["dropped_rows"])
     assert dropped[0] == 0 and dropped[1] > 0
 
 
+def test_totals_cover_more_batches_than_the_reports_that_are_kept(spark):
+    folder = work_folder(spark, "many")
+    for i in range(7):
+        spark.range(i * 10, i * 10 + 5, 1, 1).write.mode("append").parquet(folder)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        source = stream.file_stream(spark, folder, spark.range(1).schema, files_per_trigger=1)
+        with sink.progress_totals(spark) as listener:
+            query = sink.finish(sink.write_batches(source, work_folder(spark, "u"), "append"))
+            found = sink.totals_of(listener, query)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert len(query.recentProgress) <= 2 and (found["batches"], found["input_rows"]) == (7, 35)
+
+
+def _days(spark, rows):
+    """(id, day, session, product, type) as events, one file a day, in order."""
+    folder = work_folder(spark, "days")
+    schema = "event_id long, day int, user_session string, product_id long, event_type string"
+    for day in sorted({r[1] for r in rows}):
+        spark.createDataFrame([r for r in rows if r[1] == day], schema).select(
+            "event_id", F.timestamp_seconds((F.col("day") + 19_000) * 86400).alias("event_time"), "user_session", "product_id", "event_type",
+        ).coalesce(1).write.mode("append").parquet(folder)
+    return stream.file_stream(spark, folder, spark.read.parquet(folder).schema, files_per_trigger=1)
+
+
+def test_state_goes_after_its_life_time_and_counts_are_right(spark):
+    rows = [(i, day, f"s{day // 4}", 1, "view") for i, day in enumerate(d for d in range(16) for _ in range(3))]
+    with sink.progress_totals(spark) as listener:
+        path = work_folder(spark, "counts")
+        query = sink.finish(sink.write_batches(state.running_counts(_days(spark, rows), life="3 days"), path, "append"))
+        found = sink.totals_of(listener, query)
+    got = {r["event_id"]: r["activity_count"] for r in spark.read.parquet(path).collect()}
+    seen: dict = {}
+    for i, _, session, *_ in rows:
+        seen[session] = seen.get(session, 0) + 1
+        assert got[i] == seen[session]
+    assert found["batches"] >= 16 and found["dropped_rows"] == 0
+    # Four sessions came; those of the last days alone are still held (a value and a timer each, and their index).
+    assert 0 < found["state_rows"] <= 4 * 3
+
+
+def test_a_key_starts_again_after_its_life_time(spark):
+    rows = [(1, 0, "a", 7, "purchase"), (2, 1, "a", 7, "cart"), (3, 20, "b", 1, "cart"), (4, 21, "b", 1, "cart"), (5, 30, "a", 7, "cart")]
+    path = work_folder(spark, "labels")
+    sink.finish(sink.write_batches(state.running_labels(_days(spark, rows), life="3 days"), path, "append"))
+    found = sorted((r["batch"], r["user_session"], r["is_purchased"]) for r in spark.read.parquet(path).collect())
+    assert [f[1:] for f in found] == [("a", 1), ("a", 1), ("b", 0), ("b", 0), ("a", 0)]
+
+
 def test_dedup_across_batches(spark, shop):
     staged, target = _published(spark, shop, 300)
     list(replay.publish(staged, target))
