@@ -7,8 +7,9 @@ the score q . s(class) + b(class), and one matrix product normalises it over all
 a group a word has its smoothed share of the group's training tokens.
 
 Word counts cover all training documents (crc32 of the id modulo 5 is not 1) by grouped aggregation. Training covers all
-their tokens as well: each task runs noise-contrastive estimation in numpy over its own tokens, and the
-parameters of all tasks are averaged by tokens, for ``ROUNDS`` rounds. Counts of words above a share ``SHARE`` of the
+their tokens as well: training documents are dealt by a hash of id and text to shards of about ``SHARD_TOKENS`` tokens, noise-contrastive
+estimation runs in numpy over each shard in a fixed order, and the parameters of all shards are averaged by tokens, for ``ROUNDS`` rounds. So
+the model depends on the documents alone, not on how they are spread over tasks; shards grow in number with the table. Counts of words above a share ``SHARE`` of the
 tokens (fewer than 1 / SHARE of them) are broadcast; tokens of rarer words meet their counts in a join.
 
 Nulls and edge cases: a null or empty text is its end token alone; a row with a null id belongs to the
@@ -35,6 +36,10 @@ TOP, GROUPS, WIDTH = 319, 192, 24
 CLASSES = 1 + TOP + GROUPS
 ROUNDS, BATCH, NOISE, RATE = 2, 4096, 64, 0.08
 _CHUNK_TOKENS = 1 << 22
+SHARD_TOKENS = 1 << 22
+_SHARD_BLOCK = 1 << 20
+# Parameters are added as whole multiples of this, so that their sum has no order.
+_UNIT = 1 << 16
 
 
 @dataclass
@@ -193,9 +198,13 @@ def _trained(training: DataFrame, counts: Counts) -> Model:
     flat = Model.initial(unigram)
 
     def fit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, squares = Model(flat.copy()), np.full_like(flat, 1e-8)
-        rng, seen = np.random.default_rng(11), 0
-        for _, texts in blocks(batches):
+        current, model, squares, rng, seen = None, None, None, None, 0
+        for shard, texts in _shard_blocks(batches):
+            if shard != current:
+                if seen:
+                    yield _weighted(model, seen)
+                current, model, squares = shard, Model(flat.copy()), np.full_like(flat, 1e-8)
+                rng, seen = np.random.default_rng([11, shard]), 0
             tokens = Classes(counts, texts)
             order = rng.permutation(len(tokens.cls))
             for lo in range(0, len(order), BATCH):
@@ -203,26 +212,49 @@ def _trained(training: DataFrame, counts: Counts) -> Model:
                 _nce(model, tokens.context[at], tokens.cls[at], noise, log_noise, squares, rng)
             seen += len(order)
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([(model.flat.astype(float) * seen).tobytes()])],
-                                             names=["seen", "total"])
+            yield _weighted(model, seen)
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, total = 0, np.zeros(len(flat))
+        seen, total = 0, np.zeros(len(flat), np.int64)
         for batch in batches:
             for n, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen, total = seen + n, total + np.frombuffer(raw)
+                seen, total = seen + n, total + np.frombuffer(raw, np.int64)
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([total.tobytes()])], names=["seen", "total"])
 
+    shards = max(1, -(-counts.tokens // SHARD_TOKENS))
+    place = F.xxhash64("doc_id", "text")
+    dealt = (training.select(F.pmod(place, F.lit(shards)).alias("shard"), place.alias("place"), "doc_id", "text")
+             .repartition(shards, "shard").sortWithinPartitions("shard", "place", "doc_id", "text").select("shard", "text"))
     for _ in range(ROUNDS):
-        # One sum a task, added up by 32 tasks, so that the driver gets 32 rows whatever the number of tasks.
-        sums = (training.select("text").mapInArrow(fit, "seen long, total binary").repartition(32)
+        # One sum a shard, added up by 32 tasks, so that the driver gets 32 rows whatever the number of shards.
+        sums = (dealt.mapInArrow(fit, "seen long, total binary").repartition(32)
                 .mapInArrow(add, "seen long, total binary").collect())
         if sums:
-            flat = (sum(np.frombuffer(r["total"]) for r in sums) / sum(r["seen"] for r in sums)).astype(np.float32)
+            flat = (sum(np.frombuffer(r["total"], np.int64) for r in sums) / (_UNIT * sum(r["seen"] for r in sums))).astype(np.float32)
     return Model(flat)
 
 
+def _shard_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
+    """(shard, texts) of about a megabyte, cut by the shard's own texts whatever lies in the same task."""
+    current, held, size = None, [], 0
+    for batch in batches:
+        for shard, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+            if held and (shard != current or size >= _SHARD_BLOCK):
+                yield current, held
+                held, size = [], 0
+            current = shard
+            held.append(text)
+            size += len(text) + 1
+    if held:
+        yield current, held
+
+
+def _weighted(model: Model, seen: int) -> pa.RecordBatch:
+    total = np.rint(model.flat.astype(float) * seen * _UNIT).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([total.tobytes()])], names=["seen", "total"])
+
+
 class Normalised:
     """log P(class | context); normalisers are computed for the contexts met, a block of them at a time, and kept."""
 

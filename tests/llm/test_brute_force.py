@@ -339,8 +339,8 @@ def test_random_runs_of_any_length_and_without_digits(spark):
 def test_secret_ratios_and_span_order(spark):
     """The trained ratios and every span against plain counts of character pairs."""
     rng = __import__("random").Random(8)
-    keys = ["".join(rng.choices("ABCDEFGHJKMNPQRSTUVWXYZ23456789abcdefghijk", k=rng.randint(13, 30))) for _ in range(40)]
-    rows = [(i, f"{data.text(rng, 3)} token = {k} and {data.sentence(rng, 4)} {keys[i - 1]} 0123456789abcdef0{i}") for i, k in enumerate(keys)]
+    keys = ["".join(rng.choices("ABCDEFGHJKMNPQRSTUVWXYZ23456789abcdefghijk", k=rng.randint(13, 30))) for _ in range(500)]
+    rows = [(i, f"{data.text(rng, 2)} token = {k} and {data.sentence(rng, 4)} {keys[i - 1]} 0123456789abcdef0{i}") for i, k in enumerate(keys)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     alphabet = secret_scan.ALPHABET
     run = re.compile(r"[A-Za-z0-9+/_=-]+")
@@ -409,6 +409,49 @@ def test_lm_base_scores(spark, sf_dir, texts):
     assert sum(r["score"] for r in unseen) > sum(r["base_score"] for r in unseen)
 
 
+def test_lm_scores_do_not_depend_on_partitions(spark, sf_dir, monkeypatch):
+    """The same documents in 1, 3 and 8 partitions, over several shards."""
+    from cartflow.llm import log_bilinear
+
+    monkeypatch.setattr(log_bilinear, "SHARD_TOKENS", 20_000)
+    monkeypatch.setattr(log_bilinear, "_SHARD_BLOCK", 1 << 14)
+    docs = documents(spark, sf_dir)
+    found = [{r["doc_id"]: r["score"] for r in log_bilinear.score(docs.repartition(n, "doc_id")).collect()} for n in (1, 3, 8)]
+    assert len(found[0]) == docs.count()
+    for other in found[1:]:
+        assert all(other[d] == pytest.approx(s, rel=1e-5) for d, s in found[0].items())
+
+
+def test_lm_scores_equal_a_plain_softmax(spark, sf_dir, texts):
+    """Token by token from the trained vectors: softmax over classes, then the word's share of its group."""
+    from cartflow.llm import log_bilinear as lm
+    from cartflow.llm.words import WordBlock
+
+    rows = lm.id_and_text(documents(spark, sf_dir)).withColumn("held_out", lm.fold("doc_id", 5) == 1)
+    training = rows.where("NOT held_out")
+    words = lm._word_counts(training)
+    counts = lm._counts(words, training.count())
+    model = lm._trained(training, counts)
+    number = {r["word"]: r["n"] for r in words.collect()}
+    top = dict(zip(counts.top.astype(np.int64).tolist(), counts.top_class.tolist()))
+    present = [True] + [c in set(top.values()) for c in range(1, lm.TOP + 1)] + [True] * lm.GROUPS
+    scores = {r["doc_id"]: r["score"] for r in lm.score(documents(spark, sf_dir)).collect()}
+    for d in sorted(texts)[:12]:
+        block = WordBlock([texts[d].encode()])
+        tokens = list(zip(block.hashes().astype(np.int64).tolist(), lm._groups(block).tolist()))
+        total, earlier, previous = 0.0, 0, 0
+        for token in [*tokens, None]:
+            cls = 0 if token is None else top.get(token[0], 1 + lm.TOP + token[1])
+            q = model.r[previous].astype(float) * model.c[0] + model.r[earlier].astype(float) * model.c[1]
+            z = np.where(present, model.s.astype(float) @ q + model.b, -np.inf)
+            total += (z[cls] - z.max() - math.log(np.exp(z - z.max()).sum())) / math.log(10)
+            if cls > lm.TOP:
+                g = cls - 1 - lm.TOP
+                total += math.log10((number.get(token[0], 0) + 0.5) / (counts.group_tokens[g] + 0.5 * (counts.group_words[g] + 1)))
+            earlier, previous = previous, cls
+        assert scores[d] == pytest.approx(total, rel=1e-4)
+
+
 def test_toxicity_on_held_out_documents(spark):
     sf_dir = "/root/testdata/sf0.1"
     rows = {r["doc_id"]: r for r in QUERIES["op10_toxicity"](spark, sf_dir).where("held_out").collect()}
