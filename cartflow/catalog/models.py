@@ -41,6 +41,18 @@ def leaderboard(spark, sf):
     return _compare(spark, sf, *m.MODELS)
 
 
+@query("a16_results_as_table", t.with_views("""
+SELECT event_type AS model, round(count(*) / (SELECT count(*) FROM behavior), 9) AS accuracy,
+       round(count(DISTINCT user_id) / (SELECT count(DISTINCT user_id) FROM behavior), 9) AS area_roc
+FROM behavior GROUP BY event_type""", "behavior"))
+def results_as_table(spark, sf):
+    """A few figures worked out one by one, as rows of a table with declared types."""
+    events = t.behavior(spark, sf)
+    n, users = events.agg(F.count(F.lit(1)), F.count_distinct("user_id")).first()
+    kinds = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users")).collect()
+    return m.leaderboard(spark, [(round(r["n"] / n, 9), round(r["users"] / users, 9), r["event_type"]) for r in kinds])
+
+
 def _metrics(predictions):
     """Accuracy, precision, recall and weighted F-beta in one row."""
     table = m.scored(predictions)

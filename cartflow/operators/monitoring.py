@@ -23,7 +23,7 @@ def counter_rate(df: DataFrame, window_seconds: int = 300, series: list[str] = S
     """Per-second increase of a counter over the trailing window, at every sample.
 
     A value below the one before is a restart and counts in full; the first sample of a
-    series counts 0; the window's edges are not extrapolated. A series is handled in
+    series counts 0; samples of equal time come in the order of their values; the window's edges are not extrapolated. A series is handled in
     chunks of time: each chunk is told the last value before it and is given the tail of
     the chunk before it, so one long series is spread over many tasks. The trailing sum
     is a running sum of increases entering and leaving, so its cost per sample does not
@@ -33,10 +33,10 @@ def counter_rate(df: DataFrame, window_seconds: int = 300, series: list[str] = S
     if chunk < span:
         raise ValueError("a chunk must be at least as long as the window")
     samples = df.withColumn("_m", _micros("ts")).withColumn("_chunk", F.floor(F.col("_m") / chunk))
-    last = samples.groupBy(*series, "_chunk").agg(F.max_by("value", "_m").alias("_last"))
+    last = samples.groupBy(*series, "_chunk").agg(F.max_by("value", F.struct("_m", "value")).alias("_last"))
     carried = last.select(*series, "_chunk", F.lag("_last").over(
         Window.partitionBy(*series).orderBy("_chunk")).alias("_carried"))
-    inside = Window.partitionBy(*series, "_chunk").orderBy("_m")
+    inside = Window.partitionBy(*series, "_chunk").orderBy("_m", "value")
     before = F.coalesce(F.lag("value").over(inside), F.col("_carried"))
     grown = samples.join(carried, [*series, "_chunk"]).withColumn(
         "_increase", F.when(before.isNull(), 0.0).when(F.col("value") < before, F.col("value"))
@@ -53,7 +53,10 @@ def counter_rate(df: DataFrame, window_seconds: int = 300, series: list[str] = S
     moves = spread.select("*", F.explode(F.array(enter, leave)).alias("_move"))
     so_far = (Window.partitionBy(*series, "_chunk").orderBy("_move.at", "_move.side")
               .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return (moves.withColumn("rate", F.sum("_move.by").over(so_far) / window_seconds)
+    # Doubles that enter and leave may not cancel to the last bit, so an idle window is told by its count of increases.
+    grows = F.when(F.col("_move.by") > 0, 1).when(F.col("_move.by") < 0, -1).otherwise(0)
+    total = F.when(F.sum(grows).over(so_far) == 0, 0.0).otherwise(F.sum("_move.by").over(so_far))
+    return (moves.withColumn("rate", total / window_seconds)
             .where((F.col("_move.side") == 0) & (F.col("_home") == F.col("_chunk")))
             .select(*df.columns, "rate"))
 
@@ -67,7 +70,7 @@ def sum_without(df: DataFrame, value: str, dropped: list[str], labels: list[str]
     kept = [c for c in labels if c not in dropped]
     latest = (df.where(F.col("topic") != "")
               .groupBy(F.date_trunc(step, "ts").cast("timestamp_ntz").alias("ts"), *labels)
-              .agg(F.max_by(value, "ts").alias(value)))
+              .agg(F.max_by(value, F.struct("ts", value)).alias(value)))
     return latest.groupBy("ts", *kept).agg(F.sum(value).alias(value))
 
 

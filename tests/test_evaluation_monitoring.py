@@ -103,3 +103,17 @@ def test_exact_quantiles(spark, slices):
         assert r.value == pytest.approx(data[low] + (data[high] - data[low]) * (place - low))
     assert got.count() == 12
     assert statistics.median(v for g, v in rows if g == "hot") == got.where("g = 'hot' and quantile = 0.5").first().value
+
+
+def test_rates_with_equal_times_and_idle_windows(spark):
+    """Equal times come by value whatever the row order; a window without an increase has a rate of exactly 0."""
+    rows = [(0, 1.0), (10, 1.1), (10, 1.4), (20, 1.7), (1000, 1.7), (1010, 1.7)]
+    rates = []
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "s long, value double").select(
+            F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"), F.lit("m").alias("metric"), F.lit("t").alias("topic"),
+            F.lit(0).alias("instance"), "value", "s")
+        rates.append({(r["s"], r["value"]): r["rate"] for r in m.counter_rate(df.repartition(3), 300).collect()})
+    assert rates[0] == rates[1]
+    assert rates[0][20, 1.7] == pytest.approx(0.7 / 300) and rates[0][10, 1.1] == rates[0][10, 1.4] == pytest.approx(0.4 / 300)
+    assert rates[0][1000, 1.7] == 0 and rates[0][1010, 1.7] == 0
