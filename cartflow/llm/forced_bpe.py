@@ -21,7 +21,7 @@ from tokenizers import Tokenizer
 
 # Fragments beyond this length are merged one by one with a heap, as a round a merge would cost the square of their length.
 _SIDE_BY_SIDE = 64
-_KEPT_WORDS, _KEPT_PIECES = 1 << 18, 1 << 17
+_KEPT_WORDS, _KEPT_PIECES = 1 << 17, 1 << 16
 # White space outside ASCII, in UTF-8.
 _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 _PRINTABLE = re.compile(rb"[!-~]+")
