@@ -46,21 +46,21 @@ def weighted_fbeta(df: DataFrame, beta: float = 0.5) -> DataFrame:
     return classes.agg((F.sum(score * F.col("support")) / F.sum("support")).alias("fbeta"))
 
 
-def _by_score(df: DataFrame) -> DataFrame:
-    return df.groupBy("score").agg(F.count_if(F.col("label") == 1).alias("pos"),
-                                   F.count_if(F.col("label") == 0).alias("neg"))
+def _by_score(df: DataFrame, group: list[str] = ()) -> DataFrame:
+    return df.groupBy(*group, "score").agg(F.count_if(F.col("label") == 1).alias("pos"),
+                                           F.count_if(F.col("label") == 0).alias("neg"))
 
 
-def area_under_roc(df: DataFrame, slices: int | None = None) -> DataFrame:
-    """Chance that a positive outscores a negative, ties counting one half.
+def area_under_roc(df: DataFrame, slices: int | None = None, group: list[str] = ()) -> DataFrame:
+    """Chance that a positive outscores a negative, ties counting one half; one row, or one for each ``group``.
 
     Rows are counted per distinct score first. The negatives below each score come from
     range-sliced running totals, so distinct scores may be as many as rows.
     """
-    totals = running_totals(_by_score(df), ["score"], {"neg_upto": F.col("neg")}, slices=slices)
+    totals = running_totals(_by_score(df, group), ["score"], {"neg_upto": F.col("neg")}, group, slices)
     won = F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2)
-    return totals.agg(F.try_divide(F.sum(won), F.sum("pos") * F.sum("neg").cast("double"))
-                      .alias("area_roc"))
+    return totals.groupBy(*group).agg(F.try_divide(F.sum(won), F.sum("pos") * F.sum("neg").cast("double"))
+                                      .alias("area_roc"))
 
 
 def roc_points(df: DataFrame, slices: int | None = None) -> DataFrame:
