@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 
 from cartflow.catalog.registry import query
 from cartflow.operators.dedup import keep_first
+from cartflow.operators import funnel
 from cartflow.operators.explore import session_journey, share_of_total, top_values
 from cartflow.operators.labels import label_by_max
 from cartflow.operators.sampling import ordered_limit, repeat_rows
 from cartflow.plans.training import FIRST
+from cartflow.session import materialise
 from cartflow.sources import tables as t
 
 
@@ -43,6 +45,42 @@ def journey(spark, sf):
     return session_journey(events)
 
 
+# First view, first cart after it, first purchase after that: positions in the session, null where the step is not reached.
+_FUNNEL = """
+, o AS (SELECT user_session, event_id, event_type, row_number() OVER (PARTITION BY user_session ORDER BY event_time, event_id) AS r FROM behavior),
+s1 AS (SELECT user_session, min(r) FILTER (event_type = 'view') AS r1 FROM o GROUP BY user_session),
+s2 AS (SELECT s1.user_session, r1, min(r) FILTER (event_type = 'cart' AND r > r1) AS r2
+       FROM s1 JOIN o ON o.user_session IS NOT DISTINCT FROM s1.user_session GROUP BY 1, 2),
+s3 AS (SELECT s2.user_session, r1, r2, min(r) FILTER (event_type = 'purchase' AND r > r2) AS r3
+       FROM s2 JOIN o ON o.user_session IS NOT DISTINCT FROM s2.user_session GROUP BY 1, 2, 3),
+f AS (SELECT user_session, CASE WHEN r3 IS NOT NULL THEN 3 WHEN r2 IS NOT NULL THEN 2 WHEN r1 IS NOT NULL THEN 1 ELSE 0 END::INT AS stage FROM s3)"""
+
+
+def _shop_steps():
+    return [F.col("event_type") == kind for kind in ("view", "cart", "purchase")]
+
+
+@query("e4_funnel_stages", t.with_views(f"""{_FUNNEL}
+SELECT event_id, (CASE WHEN r >= r3 THEN 3 WHEN r >= r2 THEN 2 WHEN r >= r1 THEN 1 ELSE 0 END)::INT AS stage
+FROM o JOIN s3 ON o.user_session IS NOT DISTINCT FROM s3.user_session""", "behavior"))
+def funnel_stages(spark, sf):
+    events = t.behavior(spark, sf).select("event_id", "event_time", "user_session", "event_type")
+    return funnel.funnel_stages(events, ["event_time", "event_id"], ["user_session"], _shop_steps()).select("event_id", "stage")
+
+
+@query("e4_funnel_by_session", t.with_views(f"{_FUNNEL} SELECT user_session, stage FROM f", "behavior"))
+def funnel_by_session(spark, sf):
+    return funnel.furthest_stage(t.behavior(spark, sf), ["event_time", "event_id"], ["user_session"], _shop_steps())
+
+
+@query("e4_funnel_counts", t.with_views(f"""{_FUNNEL}
+SELECT s.stage::INT AS stage, count(f.stage) AS n_groups, round(count(f.stage) * 100.0 / (SELECT count(*) FROM f), 6) AS percent
+FROM range(4) AS s(stage) LEFT JOIN f ON f.stage >= s.stage GROUP BY 1""", "behavior"))
+def funnel_counts(spark, sf):
+    found = funnel.furthest_stage(t.behavior(spark, sf), ["event_time", "event_id"], ["user_session"], _shop_steps())
+    return funnel.funnel_counts(materialise(found), 3).withColumn("percent", F.round("percent", 6))
+
+
 @query("f1_sorted_purchases", t.with_views("""
 SELECT event_id, event_time, price FROM behavior WHERE event_type = 'purchase'
 ORDER BY price DESC, event_id""", "behavior"))
