@@ -3,11 +3,13 @@
 from pyspark.sql import functions as F
 
 from cartflow.catalog.registry import query
+from cartflow.operators import sketches
 from cartflow.operators.dedup import TARGET_KEY, keep_first
 from cartflow.operators.explore import (daily_unique_visitors, histogram, share_of_total, top_values,
                                         unique_visitors)
 from cartflow.operators.labels import ITEM, activity_in_session, add_is_purchased, targets
 from cartflow.plans.training import FIRST
+from cartflow.session import work_folder
 from cartflow.sources import tables as t
 
 
@@ -54,6 +56,35 @@ def visitors_approximate(spark, sf):
     return unique_visitors(t.behavior(spark, sf), approximate=True)
 
 
+@query("d5_approximate_within_error", t.with_views(
+    "SELECT count(DISTINCT user_id) AS visitors, true AS within_error FROM behavior", "behavior"))
+def approximate_within_error(spark, sf):
+    events = t.behavior(spark, sf)
+    estimate = F.col("estimate").cast("double")
+    return unique_visitors(events).withColumn(
+        "estimate", unique_visitors(events, approximate=True).scalar()).select(
+        "visitors", (F.abs(estimate - F.col("visitors")) <= 0.15 * F.col("visitors")).alias("within_error"))
+
+
+@query("d6_visitors_of_seven_days", t.with_views(f"""
+, days AS (SELECT DISTINCT CAST(event_time AS DATE) AS day FROM behavior),
+own AS (SELECT DISTINCT CAST(event_time AS DATE) AS day, user_id FROM behavior)
+SELECT days.day - 6 AS first_day, days.day AS last_day, count(DISTINCT user_id) AS visitors, true AS within_error
+FROM days JOIN own ON own.day BETWEEN days.day - 6 AND days.day GROUP BY 1, 2""", "behavior"))
+def visitors_of_seven_days(spark, sf):
+    """Sketches are stored by day, read again and merged; beside them the exact numbers that they must come close to."""
+    events, path = t.behavior(spark, sf), work_folder(spark, "sketches")
+    sketches.save_days(sketches.daily_sketches(events), path)
+    days = sketches.stored_days(spark, path)
+    ranges = sketches.days_up_to(days.select("day"), 7)
+    estimated = sketches.distinct_over(days, ranges).withColumnRenamed("visitors", "estimate")
+    own = events.select(F.to_date("event_time").alias("day"), "user_id").distinct()
+    exact = own.select(F.explode(F.sequence(F.col("day"), F.date_add("day", 6))).alias("last_day"), "user_id").groupBy(
+        "last_day").agg(F.count_distinct("user_id").alias("visitors"))
+    near = F.abs(F.col("estimate") - F.col("visitors")) <= F.greatest(F.lit(1.0), sketches.ERROR * F.col("visitors"))
+    return estimated.join(exact, "last_day").select("first_day", "last_day", "visitors", near.alias("within_error"))
+
+
 @query("d6_daily_unique_visitors", t.with_views("""
 SELECT CAST(event_time AS DATE) AS event_date, count(DISTINCT user_id) AS visitors
 FROM behavior GROUP BY 1 ORDER BY 1""", "behavior"))

@@ -5,10 +5,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cartflow.catalog.registry import query
+from cartflow.catalog.sampling import _bits
 from cartflow.catalog.training import STEPS
 from cartflow.operators import features as f
+from cartflow.operators import target_codes
 from cartflow.operators.indexing import TableIndexer, TableIndexModel
 from cartflow.operators.models import sized_for_fits
+from cartflow.operators.sampling import hash_edge, random_folds
 from cartflow.plans.training import add_category_levels, carted_items, training_table
 from cartflow.session import work_folder
 from cartflow.sources import tables as t
@@ -144,3 +147,23 @@ def indexed_training_rows(spark, sf):
     items = carted_items(t.behavior(spark, sf)).select("event_id", "brand")
     codes = f.value_codes([items], ["brand"], by="frequency")
     return f.index_values(items, codes, ["brand"]).select("event_id", F.col("brand_index").alias("brand"))
+
+
+_FOLD = "CASE " + " ".join(f"WHEN {_bits('event_id', 7)} < {hash_edge((i + 1) / 5)} THEN {i}" for i in range(4)) + " ELSE 4 END"
+
+
+@query("p8_out_of_fold_rates", t.with_views(f"""
+, r AS (SELECT event_id, CAST(product_id AS VARCHAR) AS p, coalesce('=' || brand, 'null') AS b,
+               CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS y, {_FOLD} AS fold FROM behavior),
+f AS (SELECT fold, (SELECT sum(y) FROM r) - sum(y) AS s, (SELECT count(*) FROM r) - count(*) AS n FROM r GROUP BY fold),
+p AS (SELECT p, sum(y) AS s, count(*) AS n FROM r GROUP BY p), pf AS (SELECT p, fold, sum(y) AS s, count(*) AS n FROM r GROUP BY p, fold),
+b AS (SELECT b, sum(y) AS s, count(*) AS n FROM r GROUP BY b), bf AS (SELECT b, fold, sum(y) AS s, count(*) AS n FROM r GROUP BY b, fold)
+SELECT event_id,
+       round((p.s - pf.s + CAST(20 AS DOUBLE) * (CAST(f.s AS DOUBLE) / f.n)) / (p.n - pf.n + 20), 9) AS product_id_rate,
+       round((b.s - bf.s + CAST(20 AS DOUBLE) * (CAST(f.s AS DOUBLE) / f.n)) / (b.n - bf.n + 20), 9) AS brand_rate
+FROM r JOIN f USING (fold) JOIN p USING (p) JOIN pf USING (p, fold) JOIN b USING (b) JOIN bf USING (b, fold)""", "behavior"))
+def out_of_fold_rates(spark, sf):
+    events = t.behavior(spark, sf).select("event_id", "product_id", "brand", (F.col("event_type") == "purchase").cast("int").alias("y"))
+    rows = random_folds(events, 5, "event_id", 7)
+    found = target_codes.learn(rows, ["product_id", "brand"], "y", "fold").out_of_fold(rows, "fold")
+    return found.select("event_id", *[F.round(c, 9).alias(c) for c in ("product_id_rate", "brand_rate")])

@@ -41,6 +41,56 @@ def leaderboard(spark, sf):
     return _compare(spark, sf, *m.MODELS)
 
 
+# Test rows of the purchase models: a fifth of the training table by hash.
+_TEST_PART = f"""{STEPS}, e AS (SELECT event_id, bought FROM c WHERE {_bits('event_id', 7)} >= {hash_edge(0.8)})"""
+
+
+def _checked(data, names):
+    """Test rows and positives of each model, whether every score is a chance, and whether two ways to the area agree."""
+    found = []
+    for name in names:
+        model = m.estimator(name, data.max_bins)
+        predictions = model.fit(data.train).transform(data.test).persist()
+        table = m.scored(predictions)
+        row = table.agg(F.count(F.lit(1)), F.sum("label").cast("long"), F.every(F.col("score").between(0, 1))).first()
+        area = e.area_under_roc(table).first()["area_roc"]
+        agrees = area is None or abs(area - m.evaluator(model).evaluate(predictions)) < 1e-9
+        found.append((name, row[0], row[1], bool(row[2]) if name != "LSVC" else None, agrees))
+        predictions.unpersist()
+    return data.test.sparkSession.createDataFrame(
+        found, "model string, n long, positive long, all_between_0_and_1 boolean, areas_agree boolean")
+
+
+@query("m1_m6_rows_scored", t.with_views(f"""{_TEST_PART}
+SELECT model, count(*) AS n, sum(bought)::BIGINT AS positive,
+       CASE WHEN model = 'LSVC' THEN NULL ELSE true END AS all_between_0_and_1, true AS areas_agree
+FROM e, (VALUES ('NB'), ('LR'), ('LSVC'), ('DT'), ('GBT'), ('RF')) AS names(model) GROUP BY model""", "behavior"))
+def rows_scored(spark, sf):
+    data = prepared(spark, sf)
+    try:
+        return _checked(data, list(m.MODELS))
+    finally:
+        data.release()
+
+
+@query("m2_m4_rows_scored_on_rates", t.with_views(f"""{_TEST_PART}
+SELECT model, count(*) AS n, sum(bought)::BIGINT AS positive, true AS all_between_0_and_1, true AS areas_agree
+FROM e, (VALUES ('GBT'), ('RF')) AS names(model) GROUP BY model""", "behavior"))
+def rows_scored_on_rates(spark, sf):
+    data = m.prepare_rates(training_table(t.behavior(spark, sf), keep=["event_id"]), "event_id")
+    try:
+        return _checked(data, ["GBT", "RF"])
+    finally:
+        data.release()
+
+
+@query("m9_grid_points", t.with_views(f"""{_TEST_PART}
+SELECT 'maxIter=' || i || ', regParam=' || r AS settings, count(event_id) > 0 AS area_is_a_chance
+FROM e, (VALUES (1), (5), (10)) AS a(i), (VALUES ('0.1'), ('0.01')) AS b(r) GROUP BY i, r""", "behavior"))
+def grid_points(spark, sf):
+    return _search(spark, sf, "LR", m.LR_GRID).select("settings", F.col("area_roc").between(0, 1).alias("area_is_a_chance"))
+
+
 @query("a16_results_as_table", t.with_views("""
 SELECT event_type AS model, round(count(*) / (SELECT count(*) FROM behavior), 9) AS accuracy,
        round(count(DISTINCT user_id) / (SELECT count(DISTINCT user_id) FROM behavior), 9) AS area_roc

@@ -8,6 +8,7 @@ from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,9 @@ from pyspark.storagelevel import StorageLevel
 
 from cartflow.operators import evaluation
 from cartflow.operators.boosting import Settings
-from cartflow.operators.features import fit_features, largest_category, with_label
-from cartflow.operators.sampling import random_split
+from cartflow.operators.features import CATEGORICAL, NUMERIC, ONE_HOT, fit_features, largest_category, with_label
+from cartflow.operators.sampling import random_folds, random_split
+from cartflow.operators.target_codes import TargetCodes, learn
 from cartflow.schemas import LEADERBOARD
 
 FOLDS = 5
@@ -116,6 +118,34 @@ def prepare(table: DataFrame, key: str, weights: tuple[float, float] = (0.8, 0.2
     return Prepared(features, *parts, labelled)
 
 
+@dataclass
+class Rates:
+    """Vectors whose categories are rates, so trees need no bin for a value; persisted."""
+
+    codes: TargetCodes
+    train: DataFrame
+    test: DataFrame
+    source: DataFrame
+    max_bins: int = 32
+
+    def release(self) -> None:
+        for part in (self.train, self.test, self.source):
+            part.unpersist()
+
+
+def prepare_rates(table: DataFrame, key: str, weights: tuple[float, float] = (0.8, 0.2), seed: int = 7, folds: int = FOLDS,
+                  categorical: list[str] = CATEGORICAL, numeric: list[str] = (*NUMERIC, *ONE_HOT)) -> Rates:
+    """Split as ``prepare`` does; categories become out-of-fold rates on the training part, whole rates on the test part."""
+    labelled = sized_for_fits(with_label(table), key)
+    train, test = random_split(labelled, list(weights), key, seed)
+    train = random_folds(train, folds, key, seed + 1)
+    codes = learn(train, list(categorical), "label", "fold")
+    assemble = VectorAssembler(inputCols=[*numeric, *[f"{c}_rate" for c in categorical]], outputCol="features")
+    parts = [assemble.transform(p).select(key, "features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+             for p in (codes.out_of_fold(train, "fold"), codes.transform(test))]
+    return Rates(codes, *parts, labelled)
+
+
 def estimator(name: str, max_bins: int = 32, **params) -> Estimator:
     return MODELS[name](**({"maxBins": max_bins} if name in TREES else {}), **params)
 
