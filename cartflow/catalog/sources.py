@@ -9,6 +9,7 @@ from cartflow.session import work_folder
 from cartflow.sources import tables as t
 from cartflow.sources.collections import Collections
 from cartflow.sources.files import read_csv, read_extended_json, write_csv, write_events
+from cartflow.sources.snapshots import AlreadyThere, Snapshots
 
 EVENT_COLUMNS = EVENTS.fieldNames()
 NINE = ", ".join(EVENT_COLUMNS)
@@ -111,6 +112,45 @@ def write_fails_if_exists(spark, sf):
         F.lit(outcome).alias("outcome"), F.count(F.lit(1)).alias("n"))
 
 
+def _snapshots(spark):
+    return Snapshots(spark, work_folder(spark, "snapshots"))
+
+
+@query("a6_snapshot_append", t.with_views(f"{BRAND_COUNTS} UNION ALL {BRAND_COUNTS}", "behavior"))
+def snapshot_append(spark, sf):
+    """Two loads, one of them repeated after its token was committed."""
+    store = _snapshots(spark)
+    for token in ("monday", "tuesday", "monday"):
+        store.append(_brand_counts(spark, sf), "shop", "brandcounts", token)
+    return store.read("shop", "brandcounts")
+
+
+@query("a7_snapshot_overwrite", t.with_views("""
+SELECT 1 AS version, count(*) AS n FROM times
+UNION ALL SELECT 2, count(*) FROM times WHERE myid > 6""", "times"))
+def snapshot_overwrite(spark, sf):
+    """A collection is replaced by a part of itself; the version before it can still be read."""
+    store = _snapshots(spark)
+    store.create(t.times(spark, sf), "shop", "output")
+    store.overwrite(store.read("shop", "output").where(F.col("myid") > 6), "shop", "output")
+    counts = [store.read("shop", "output", v).agg(F.lit(v).alias("version"), F.count(F.lit(1)).alias("n")) for v in (1, 2)]
+    return counts[0].unionAll(counts[1])
+
+
+@query("a8_a11_snapshot_load_once", t.with_views("""
+SELECT true AS first_load, false AS second_load, 'already there' AS created, count(*) AS n FROM times""", "times"))
+def snapshot_load_once(spark, sf):
+    store, documents = _snapshots(spark), t.times(spark, sf)
+    loads = [store.load_once(documents, "shop", "times") for _ in range(2)]
+    created = "created"
+    try:
+        store.create(documents, "shop", "times")
+    except AlreadyThere:
+        created = "already there"
+    return store.read("shop", "times").agg(F.lit(loads[0]).alias("first_load"), F.lit(loads[1]).alias("second_load"),
+                                           F.lit(created).alias("created"), F.count(F.lit(1)).alias("n"))
+
+
 @query("a9_round_trip_count", t.with_views("""
 SELECT count(*) AS written, count(*) AS read_back, 0 AS missing FROM behavior""", "behavior"))
 def round_trip_count(spark, sf):
