@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartflow import session
+from cartflow.catalog import QUERIES
 from cartflow.operators import labels, models, sampling
 from cartflow.plans.transactions import transaction_table
 from cartflow.session import work_folder
@@ -67,6 +68,26 @@ def test_a_hot_key_of_a_label_join_is_split(spark):
             spark.conf.set(k, v)
 
 
+def _shop(spark, events):
+    """A folder with two products and events of (id, seconds, user, type, number)."""
+    folder = work_folder(spark, "shop")
+    spark.createDataFrame([(k, f"a b{k} c", "Brand#1", "TYPE X", 1, 9.5 + k) for k in range(2)],
+                          "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+                          ).write.parquet(f"{folder}/part.parquet")
+    spark.createDataFrame([(i, dt.datetime(2024, 1, 3) + dt.timedelta(seconds=s), u, k, 1.0, f'{{"k": {n}}}') for i, s, u, k, n in events],
+                          "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+                          ).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def test_the_join_of_raw_rows_writes_every_pair(spark):
+    folder = _shop(spark, [(1, 1, 5, "click", 0), (2, 2, 5, "purchase", 0), (3, 3, 5, "purchase", 0), (4, 4, 5, "click", 1),
+                           (5, 5, 6, "click", 0), (6, 6, 5, "view", 0)])
+    got = QUERIES["c1_label_by_left_join_raw_rows"](spark, folder)
+    assert got.columns == ["event_id", "is_purchased"]
+    assert sorted(map(tuple, got.collect())) == [(1, 1), (1, 1), (4, 0), (5, 0)]
+
+
 def test_trees_are_ranked_by_probability(spark):
     rows = spark.createDataFrame([(1.0, [30.0, 10.0], [0.75, 0.25], 0.0), (1.0, [1.0, 4.0], [0.2, 0.8], 1.0)],
                                  "label double, raw array<double>, p array<double>, prediction double")
