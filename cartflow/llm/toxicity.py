@@ -21,12 +21,11 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartflow.llm.common import blocks, fold, id_and_text
+from cartflow.llm.common import blocks, fold, fresh, id_and_text, text_or_empty
 from cartflow.llm.words import NO_LETTER, WordBlock
 
 FOLDS, HELD_OUT = 4, 2
@@ -220,14 +219,14 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, that score below ``threshold``."""
-    @F.pandas_udf("double")
-    def text_score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for series in batches:
-            texts = pa.RecordBatch.from_arrays([pa.array(series.fillna(""), pa.string())], names=["text"])
-            out = [np.empty(0)]
-            for _, block in blocks([texts]):
-                found = Sentences(block)
-                out.append(noisy_or(found.doc, sentence_scores(found, model), len(block)))
-            yield pd.Series(np.concatenate(out))
-
-    return docs.where(text_score(F.col("text").cast("string")) < threshold)
+    text = fresh(docs, "text_")
+    place = len(docs.columns)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A block at a time, so a task holds the scores' working arrays of one block beside its rows.
+        for rows, texts in blocks(batches, text):
+            found = Sentences(texts)
+            clean = noisy_or(found.doc, sentence_scores(found, model), len(texts)) < threshold
+            yield rows.select(range(place)).filter(pa.array(clean))
+
+    return docs.select("*", text_or_empty().alias(text)).mapInArrow(run, docs.schema)

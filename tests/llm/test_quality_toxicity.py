@@ -126,3 +126,15 @@ def test_training_follows_the_gradient_of_the_noisy_or_likelihood(monkeypatch):
                       "at": pa.array([[f for _, f in p] for p in pairs], pa.list_(pa.int64()))})
     found = toxicity._fit(table, toxicity.Model(np.arange(3, dtype=np.uint64)), rate)
     assert [*found.weights, found.bias] == pytest.approx(theta.tolist(), abs=1e-4)
+
+
+def test_the_filter_keeps_whole_rows_and_needs_no_row_queue(spark):
+    """Rows pass block by block: no scalar function beside a queue of waiting rows; columns and nulls stay."""
+    hashes = toxicity.Sentences([b"vile"]).features()[1]
+    model = toxicity.Model(np.sort(np.unique(hashes)), np.full(len(np.unique(hashes)), 9.0), -6.0)
+    docs = spark.createDataFrame([(1, "a vile text", "en"), (2, "a fine text", None), (3, None, "de"), (None, "", "fr"), (2, "a fine text", None)],
+                                 "doc_id long, text string, lang string")
+    kept = toxicity.without_toxic(docs, model)
+    assert kept.schema == docs.schema
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.where("doc_id is null or doc_id != 1").collect()))
+    assert "ArrowEvalPython" not in kept._jdf.queryExecution().executedPlan().toString()
