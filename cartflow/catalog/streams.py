@@ -112,6 +112,8 @@ def throughput_sliding(spark, sf):
 
 
 _QUARTERS, _FILES = 4, 4
+# Files of a micro-batch of the replay.
+_REPLAY_FILES = 12
 
 
 @query("s8_late_rows", t.with_views(f"""
@@ -148,13 +150,13 @@ def running_labels(spark, sf):
 
 
 def replayed(spark, sf, batches=6):
-    """The shop events in time order, as files that are read a few at a time: several micro-batches."""
+    """The shop events in time order, as files that are read a few at a time: several micro-batches, each of many tasks."""
     staged, arrived = work_folder(spark, "replay"), work_folder(spark, "arrived")
     events = t.behavior(spark, sf)
     replay.stage_chunks(events, staged, max(1, -(-events.count() // batches)))
-    for _ in replay.publish(spark.read.parquet(staged), arrived):
+    for _ in replay.publish(spark.read.parquet(staged), arrived, _REPLAY_FILES):
         pass
-    return stream.zoned(stream.file_stream(spark, arrived, events.schema, files_per_trigger=1))
+    return stream.zoned(stream.file_stream(spark, arrived, events.schema, files_per_trigger=_REPLAY_FILES))
 
 
 @query("s6_session_counts_with_life_time", t.with_views("""

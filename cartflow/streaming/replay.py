@@ -24,15 +24,15 @@ def stage_chunks(df: DataFrame, path: str, rows_per_chunk: int) -> None:
     with_chunk(df, rows_per_chunk).write.partitionBy("chunk").parquet(path)
 
 
-def publish(staged: DataFrame, target: str) -> Iterator[int]:
-    """Append staged chunks to ``target`` one after the other, so files appear in time order.
+def publish(staged: DataFrame, target: str, files: int = 1) -> Iterator[int]:
+    """Append staged chunks to ``target`` one after the other, ``files`` files each, so files appear in time order.
 
     The caller sets the pace by iterating. Each append reads only its chunk's folder.
     """
     last = staged.agg(F.max("chunk")).first()[0]
     for chunk in range(0 if last is None else last + 1):
         part = staged.where(F.col("chunk") == chunk).drop("chunk")
-        part.coalesce(1).write.mode("append").parquet(target)
+        (part.coalesce(1) if files == 1 else part.repartition(files)).write.mode("append").parquet(target)
         yield chunk
 
 

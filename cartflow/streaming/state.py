@@ -1,12 +1,16 @@
 """Keyed state with a life time: running counts and running labels.
 
-Each key keeps one value and one event-time timer. A new row moves the timer to its event time plus the life time; when the
-watermark passes it the state is removed. So state holds the keys that were seen within the life time, not all keys ever.
+Each key keeps one number and the event time its state lasts until. A new row moves that to its event time plus the life time; when
+the watermark passes it the state is removed. So state holds the keys that were seen within the life time, not all keys ever.
 A row that comes after its key's state has gone starts the key again; choose a life time that no key is silent for.
+
+Keys are dealt to ``BUCKETS`` by a hash. A bucket keeps its keys' numbers in one value and has one event-time timer, for the
+key that goes first, so a micro-batch takes a few calls of the state store a bucket, where it took several a key.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
@@ -15,59 +19,83 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from cartflow.operators.labels import ITEM, add_is_purchased, targets
 
+BUCKETS = 1024
+
 
 class _Lasting(StatefulProcessor):
-    """One number a key, kept for ``life_ms`` of event time after the key's last row."""
+    """One number a key (``keys``), kept for ``life_ms`` of event time (``ms``) after the key's last row."""
 
-    def __init__(self, life_ms: int):
-        self.life_ms = life_ms
+    def __init__(self, life_ms: int, keys: list[str]):
+        self.life_ms, self.keys = life_ms, keys
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.value = handle.getValueState("value", "n long, until long")
+        self.value = handle.getValueState("value", "kept binary, first long")
+
+    def _kept(self) -> tuple[dict[tuple, tuple[int, int]], int | None]:
+        """(number, until) by key, and when the timer goes off."""
+        found = self.value.get()
+        return ({}, None) if found is None else (pickle.loads(bytes(found[0])), found[1])
+
+    def _keep(self, kept: dict[tuple, tuple[int, int]], before: int | None) -> None:
+        """Store what is kept, and have the timer go off with the first key to leave."""
+        first = min((until for _, until in kept.values()), default=None)
+        if before is not None and before != first:
+            self.handle.deleteTimer(before)
+        if first is None:
+            self.value.clear()
+            return
+        if before != first:
+            self.handle.registerTimer(first)
+        self.value.update((pickle.dumps(kept), first))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        kept = self.value.get() if self.value.exists() else None
-        number, until = (kept[0], kept[1]) if kept else (0, 0)
-        number, last, out = self.take(key, number, list(rows))
-        moved = max(until, int(last.timestamp() * 1000) + self.life_ms)
-        if moved != until:
-            if until:
-                self.handle.deleteTimer(until)
-            self.handle.registerTimer(moved)
-        self.value.update((number, moved))
+        kept, before = self._kept()
+        now = timerValues.getCurrentWatermarkInMs()
+        of_key: dict[tuple, list[Row]] = {}
+        for row in rows:
+            of_key.setdefault(tuple(row[k] for k in self.keys), []).append(row)
+        out: list[Row] = []
+        for one, own in of_key.items():
+            number, until = kept.get(one, (0, 0))
+            last = max(now if row["ms"] is None else row["ms"] for row in own)
+            kept[one] = self.take(one, number, own, out), max(until, last + self.life_ms)
+        self._keep(kept, before)
         return iter(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.value.clear()
+        kept, before = self._kept()
+        gone = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
+        # The timer that went off is removed by itself.
+        self._keep({k: v for k, v in kept.items() if v[1] > gone}, None if before is not None and before <= gone else before)
         return iter(())
 
     def close(self) -> None:
         pass
 
-    def take(self, key, number: int, rows: list[Row]):
-        """The new number, the last event time, and what to emit. A key's rows of one micro-batch are bounded by the source."""
+    def take(self, key: tuple, number: int, rows: list[Row], out: list[Row]) -> int:
+        """A key's new number; what it emits goes to ``out``. A key's rows of one micro-batch are bounded by the source."""
         raise NotImplementedError
 
 
 class _RunningCount(_Lasting):
-    """Every row with its number inside the key, in order of time and id."""
+    """Every row with its number inside the key, in order of time and id; rows without a time come last."""
 
-    def take(self, key, number, rows):
-        out = []
-        for row in sorted(rows, key=lambda r: (r["event_time"], r["event_id"])):
+    def take(self, key, number, rows, out):
+        for row in sorted(rows, key=lambda r: (r["ms"] is None, r["ms"] is not None and r["event_time"], r["event_id"])):
             number += 1
             out.append(Row(event_id=row["event_id"], event_time=row["event_time"], user_session=key[0], event_type=row["event_type"],
                            product_id=row["product_id"], activity_count=number))
-        return number, max(r["event_time"] for r in rows), out
+        return number
 
 
 class _RunningLabel(_Lasting):
     """Whether a purchase was seen, once a micro-batch."""
 
-    def take(self, key, number, rows):
+    def take(self, key, number, rows, out):
         number = max(number, *(r["is_purchased"] for r in rows))
-        return number, max(r["event_time"] for r in rows), [Row(user_session=key[0], product_id=key[1], is_purchased=number)]
+        out.append(Row(user_session=key[0], product_id=key[1], is_purchased=number))
+        return number
 
 
 def _milliseconds(life: str) -> int:
@@ -75,15 +103,21 @@ def _milliseconds(life: str) -> int:
     return int(float(amount) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")] * 1000)
 
 
-def running_counts(events: DataFrame, life: str = "8 days", late: str = "1 hour") -> DataFrame:
+def _in_buckets(rows: DataFrame, keys: list[str], late: str, buckets: int):
+    return (rows.withColumns({"ms": F.unix_millis("event_time"), "bucket": F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")})
+            .withWatermark("event_time", late).groupBy("bucket"))
+
+
+def running_counts(events: DataFrame, life: str = "8 days", late: str = "1 hour", buckets: int = BUCKETS) -> DataFrame:
     """Every event with ``activity_count``: the session's events up to it (append mode).
 
     Needs ``event_time`` with a zone (``stream.zoned``). ``event_time`` goes on with its watermark, so other stateful operators may follow.
     Rows later than ``late`` are dropped. A session's rows count in order inside a micro-batch, and micro-batches as they come.
     """
-    rows = events.select("event_id", "event_time", "user_session", "event_type", "product_id").withWatermark("event_time", late)
-    return rows.groupBy("user_session").transformWithState(
-        statefulProcessor=_RunningCount(_milliseconds(life)),
+    keys = ["user_session"]
+    rows = events.select("event_id", "event_time", "user_session", "event_type", "product_id")
+    return _in_buckets(rows, keys, late, buckets).transformWithState(
+        statefulProcessor=_RunningCount(_milliseconds(life), keys),
         outputStructType="event_id long, event_time timestamp, user_session string, event_type string, product_id long, activity_count long",
         outputMode="Append", timeMode="EventTime", eventTimeColumnName="event_time")
 
@@ -93,9 +127,9 @@ def session_counts(events: DataFrame, life: str = "8 days", late: str = "1 hour"
     return running_counts(events, life, late).select("user_session", "activity_count")
 
 
-def running_labels(events: DataFrame, life: str = "8 days", late: str = "1 hour") -> DataFrame:
+def running_labels(events: DataFrame, life: str = "8 days", late: str = "1 hour", buckets: int = BUCKETS) -> DataFrame:
     """Latest purchase label of each (session, product), one row for each micro-batch that touches it."""
-    rows = add_is_purchased(targets(events)).select(*ITEM, "event_time", F.col("is_purchased").cast("int")).withWatermark("event_time", late)
-    return rows.groupBy(*ITEM).transformWithState(
-        statefulProcessor=_RunningLabel(_milliseconds(life)),
+    rows = add_is_purchased(targets(events)).select(*ITEM, "event_time", F.col("is_purchased").cast("int"))
+    return _in_buckets(rows, ITEM, late, buckets).transformWithState(
+        statefulProcessor=_RunningLabel(_milliseconds(life), ITEM),
         outputStructType="user_session string, product_id long, is_purchased int", outputMode="Append", timeMode="EventTime")

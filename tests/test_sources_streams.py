@@ -161,6 +161,21 @@ def test_state_goes_after_its_life_time_and_counts_are_right(spark):
     assert 0 < found["state_rows"] <= 4 * 3
 
 
+def test_state_calls_are_made_a_bucket_and_not_a_key(spark):
+    rows = [(i, day, f"s{i % 400}" if i % 7 else None, 1, "view") for i, day in enumerate(d for d in range(2) for _ in range(800))]
+    with sink.progress_totals(spark) as listener:
+        path = work_folder(spark, "counts")
+        query = sink.finish(sink.write_batches(state.running_counts(_days(spark, rows), life="3 days", buckets=8), path, "append"))
+        found = sink.totals_of(listener, query)
+    seen: dict = {}
+    got = {r["event_id"]: (r["user_session"], r["activity_count"]) for r in spark.read.parquet(path).collect()}
+    for i, _, session, *_ in rows:
+        seen[session] = seen.get(session, 0) + 1
+        assert got[i] == (session, seen[session])
+    # A value, and a timer with its index, for each bucket.
+    assert 0 < found["state_rows"] <= 8 * 3
+
+
 def test_a_key_starts_again_after_its_life_time(spark):
     rows = [(1, 0, "a", 7, "purchase"), (2, 1, "a", 7, "cart"), (3, 20, "b", 1, "cart"), (4, 21, "b", 1, "cart"), (5, 30, "a", 7, "cart")]
     path = work_folder(spark, "labels")
