@@ -23,7 +23,7 @@ from cartflow.llm.common import blocks, fresh, text_or_empty
 from cartflow.llm.forced_bpe import ForcedBoundaryBpe
 
 DEFINITION_PATH = "/opt/tokenizers/word_bpe_49k.json"
-_ROWS, _BLOCK = 500, 1 << 22
+_ROWS, _BLOCK = 500, 1 << 20
 
 
 def definition(path: str = DEFINITION_PATH) -> str:
@@ -32,8 +32,16 @@ def definition(path: str = DEFINITION_PATH) -> str:
         return file.read()
 
 
-def encode(docs: DataFrame, model: str | None = None, keep: list[str] = ("doc_id",), packed: bool = False) -> DataFrame:
-    """The columns ``keep`` and ``ids``: an array of int, or with ``packed`` the same as little-endian 32-bit binary."""
+def _decoded(tokens: list[str], ids: bytes | list[int]) -> str:
+    return " ".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist() if isinstance(ids, bytes) else ids))
+
+
+def encode(docs: DataFrame, model: str | None = None, keep: list[str] = ("doc_id",), packed: bool = False,
+           decoded: str | None = None) -> DataFrame:
+    """The columns ``keep`` and ``ids``: an array of int, or with ``packed`` the same as little-endian 32-bit binary.
+
+    ``decoded`` names a further column: the text that ``decode`` gives for the ids, decoded in the same task.
+    """
     model = model or definition()
     keep = list(keep)
     text = fresh(docs, "text") if "text" in keep else "text"
@@ -41,16 +49,21 @@ def encode(docs: DataFrame, model: str | None = None, keep: list[str] = ("doc_id
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = ForcedBoundaryBpe(model)
+        tokens = merges.tokens() if decoded else []
         for batch, raw in blocks(batches, text, _BLOCK):
-            ids = pa.array(merges.packed(raw), pa.binary())
+            found = merges.packed(raw)
+            ids = pa.array(found, pa.binary())
+            back = [pa.array([_decoded(tokens, x) for x in found], pa.string())] if decoded else []
             if not packed:
                 bounds = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset:ids.offset + len(ids) + 1] // 4
-                flat = np.frombuffer(b"".join(ids.to_pylist()), np.int32)
+                flat = np.frombuffer(b"".join(found), np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(bounds - bounds[0]), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*batch.select(keep).columns, ids], names=[*keep, "ids"])
+            yield pa.RecordBatch.from_arrays([*batch.select(keep).columns, ids, *back],
+                                             names=[*keep, "ids", *([decoded] if decoded else [])])
 
     kind = BinaryType() if packed else ArrayType(IntegerType())
-    return rows.mapInArrow(run, StructType([*rows.schema.fields[:-1], StructField("ids", kind)]))
+    more = [StructField(decoded, StringType())] if decoded else []
+    return rows.mapInArrow(run, StructType([*rows.schema.fields[:-1], StructField("ids", kind), *more]))
 
 
 def decode(encoded: DataFrame, model: str | None = None, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -61,9 +74,7 @@ def decode(encoded: DataFrame, model: str | None = None, ids: str = "ids", text:
         for batch in batches:
             for part in (batch.slice(i, _ROWS) for i in range(0, batch.num_rows, _ROWS)):
                 column = part.column(part.schema.get_field_index(ids))
-                texts = [None if x is None else
-                         " ".join(map(tokens.__getitem__, np.frombuffer(x, "<u4").tolist() if isinstance(x, bytes) else x))
-                         for x in column.to_pylist()]
+                texts = [None if x is None else _decoded(tokens, x) for x in column.to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())],
                                                  names=[*part.schema.names, text])
 

@@ -25,6 +25,7 @@ _KEPT_WORDS, _KEPT_PIECES = 1 << 17, 1 << 16
 # White space outside ASCII, in UTF-8.
 _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 _PRINTABLE = re.compile(rb"[!-~]+")
+_CONTROL = re.compile(rb"[\x00-\x1f\x7f]")
 _NONE = np.int64(1) << 30
 
 
@@ -92,11 +93,15 @@ class ForcedBoundaryBpe:
     def _encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Each word's ids: words in pieces, pieces in fragments, fragments merged."""
         plain, wide, odd = [], [], []
+        # Most blocks have neither odd strings nor control characters, which one look at all words tells.
+        joined = b" ".join(words)
+        any_odd = self._special_bytes.search(joined) or _WIDE_SPACE.search(joined)
+        printable = _PRINTABLE.fullmatch if _CONTROL.search(joined) else bytes.isascii
         for word in words:
-            if self._special_bytes.search(word) or _WIDE_SPACE.search(word):
+            if any_odd and (self._special_bytes.search(word) or _WIDE_SPACE.search(word)):
                 odd.append(word)
             else:
-                (plain if _PRINTABLE.fullmatch(word) else wide).append(word)
+                (plain if printable(word) else wide).append(word)
         pieces = dict(zip(chain(plain, wide), chain(self._ascii_pieces(plain), self._wide_pieces(wide))))
         for word in odd:
             pieces[word] = self._odd_pieces(word.decode())

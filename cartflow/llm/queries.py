@@ -123,7 +123,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op11_bpe")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe_codec.decode(bpe_codec.encode(documents(spark, sf_dir), packed=True))
+    encoded = bpe_codec.encode(documents(spark, sf_dir), packed=True, decoded="decoded")
     return encoded.select("doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
                           F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cartflow.llm import bpe_codec
@@ -90,3 +91,16 @@ def test_query_equals_the_library(spark, sf_dir, library):
         assert row.n_tokens == len(ids)
         assert row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_ids_and_texts_come_from_one_pass(spark, library):
+    """op11 encodes and decodes in the same task: a second Python worker a task took an executor over its memory."""
+    docs = data.awkward(spark).where("doc_id IS NOT NULL").union(data.awkward(spark).where("doc_id = 1").withColumn(
+        "text", F.lit("a\x00b \x1f del\x7f x y")))
+    for packed in (False, True):
+        found = bpe_codec.encode(docs, keep=["doc_id", "text"], packed=packed, decoded="decoded")
+        assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        for row in found.collect():
+            want = library.encode(row.text or "", add_special_tokens=False).ids
+            assert (np.frombuffer(row.ids, "<u4").tolist() if packed else row.ids) == want
+            assert row.decoded == library.decode(want, skip_special_tokens=False)
