@@ -1,8 +1,9 @@
 """Near-duplicate classes: weighted MinHash over TF-IDF shingles, banded and verified.
 
-1. Shingles of five words are weighted by occurrences times inverse document frequency
-   (``shingle_idf``), sampled by improved consistent weighted sampling and banded, 16 bands
-   of 4: a pair of similarity 0.8 shares no band once in 4,600 times.
+1. Shingles of five words are weighted by occurrences times inverse document frequency, from the exact
+   document count of every shingle (``shingle_idf``), which goes with the texts that are verified. They are
+   sampled by improved consistent weighted sampling and banded, 16 bands of 4: a pair of
+   similarity 0.8 shares no band once in 4,600 times.
 2. Identical texts are one node, so copies never meet each other as pairs.
 3. In each bucket (nodes that share a band) the least node is the hub, and every member
    is compared with the hub. Comparisons compute the weighted Jaccard similarity of the
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from cartflow.llm.common import blocks, fresh, id_and_text, stored, text_or_empty
 from cartflow.llm.components import merged
-from cartflow.llm.shingle_idf import Idf, shingle_idf
+from cartflow.llm.shingle_idf import Idf, counts_of, idf_of, pack, packed_texts, weights, with_counts
 from cartflow.llm.weighted_minhash import Sampler
 from cartflow.llm.words import HASH_BITS, WordBlock
 from cartflow.plans.ordered import running_totals
@@ -47,24 +48,35 @@ def _node() -> Column:
     return F.substring(F.unhex(F.sha2(text_or_empty(), 256)), 1, 16)
 
 
-def _signatures(docs: DataFrame, idf: Idf) -> DataFrame:
+def _signatures(docs: DataFrame) -> tuple[DataFrame, int]:
+    """doc_id, node, row, bands, total weight and packed shingle counts of each document; how many have a word."""
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler()
-        for rows, texts in blocks(batches):
-            doc, h, times = WordBlock(texts).shingle_sets()
-            present, keys = sampler.bands(doc, h, times * idf.of(h), len(texts))
-            total = np.bincount(doc, times * idf.of(h), minlength=len(texts))
-            sizes = np.zeros(len(texts) + 1, np.int32)
-            sizes[present + 1] = keys.shape[1]
-            bands = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)),
-                                             pa.array(keys.ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*rows.drop_columns("text").columns, bands, pa.array(total, pa.float64())],
-                                             names=["doc_id", "node", "row", "bands", "total"])
-
-    # The number tells repeated rows apart; it is stored with the signature.
-    numbered = id_and_text(docs).select("doc_id", _node().alias("node"),
-                                        F.monotonically_increasing_id().alias("row"), "text")
-    return stored(numbered.mapInArrow(sign, "doc_id long, node binary, row long, bands array<long>, total double"), "signatures")
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, node, row, text = (batch.column(k)[i].values for k in range(4))
+                texts = text.cast(pa.binary()).to_pylist()
+                doc, h, times = WordBlock(texts).shingle_sets()
+                counts = counts_of(h, batch.column(4)[i].as_py())
+                weight = times * weights(counts, n)
+                present, keys = sampler.bands(doc, h, weight, len(texts))
+                total = np.bincount(doc, weight, minlength=len(texts))
+                sizes = np.zeros(len(texts) + 1, np.int32)
+                sizes[present + 1] = keys.shape[1]
+                bands = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)),
+                                                 pa.array(keys.ravel().view(np.int64)))
+                cuts = np.searchsorted(doc, np.arange(len(texts) + 1)).tolist()
+                packed = pa.array([pack(counts[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([ids, node, row, bands, pa.array(total, pa.float64()), packed],
+                                                 names=["doc_id", "node", "row", "bands", "total", "counts"])
+
+    # The number tells repeated rows apart; it is stored with the block.
+    packed = packed_texts(id_and_text(docs).select("doc_id", _node().alias("node"),
+                                                   F.monotonically_increasing_id().alias("row"), "text"))
+    n = packed.agg(F.sum("worded")).first()[0] or 0
+    signed = with_counts(packed).select("doc_id", "node", "row", "text", "answers").mapInArrow(
+        sign, "doc_id long, node binary, row long, bands array<long>, total double, counts binary")
+    return stored(signed, "signatures"), n
 
 
 def weighted_jaccard(left: list[bytes], right: list[bytes], idf: Idf) -> np.ndarray:
@@ -85,28 +97,28 @@ def weighted_jaccard(left: list[bytes], right: list[bytes], idf: Idf) -> np.ndar
     return shared / np.maximum(all_a + all_b - shared, 1e-12)
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, idf: Idf) -> DataFrame:
+def _compared(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     """a, b, similarity of each pair of nodes."""
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, left in blocks(batches, "text_a"):
             right = rows.column(3).cast(pa.binary()).to_pylist()
+            idf = idf_of(left + right, rows.column(4).to_pylist() + rows.column(5).to_pylist(), n)
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), rows.column(1), pa.array(weighted_jaccard(left, right, idf))],
                 names=["a", "b", "similarity"])
 
-    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-            .select("a", "b", "text_a", "text_b"))
+    side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"), F.col("counts").alias(f"counts_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b", "counts_a", "counts_b")
     return stored(both.mapInArrow(verify, "a binary, b binary, similarity double"), "compared")
 
 
 def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, text, total for each of ``nodes`` (node, id, total), read from its document."""
+    """node, text, total, counts for each of ``nodes`` (node, id, total, counts), read from its document."""
     once = Window.partitionBy("id", "node").orderBy(F.lit(1))
     found = (docs.select(F.col("doc_id").cast("long").alias("id"), _node().alias("node"),
                          text_or_empty().alias("text"))
              .join(nodes, ["id", "node"]))
-    return stored(found.withColumn("n", F.row_number().over(once)).where("n = 1").select("node", "text", "total"), "texts")
+    return stored(found.withColumn("n", F.row_number().over(once)).where("n = 1").select("node", "text", "total", "counts"), "texts")
 
 
 def _pairs(members: DataFrame) -> DataFrame:
@@ -163,7 +175,7 @@ def joined_roots(texts: list[bytes], roots: list[bytes], left: np.ndarray, right
     return out
 
 
-def _rest(rows: DataFrame, texts: DataFrame, idf: Idf) -> DataFrame:
+def _rest(rows: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     """a, b: pairs of roots joined by links within the buckets of ``rows`` (band, key, node, root)."""
     weighed = rows.select("band", "key", "node", "root").join(
         texts.select("node", "total", F.greatest(F.octet_length("text"), F.lit(BLOCK_TEXT)).alias("cost")), "node")
@@ -184,43 +196,45 @@ def _rest(rows: DataFrame, texts: DataFrame, idf: Idf) -> DataFrame:
 
     def join(tile: pa.Table) -> pa.Table:
         block, i, j = (tile.column(c).to_numpy() for c in ("block", "i", "j"))
-        found = joined_roots(tile.column("text").cast(pa.binary()).to_pylist(), tile.column("root").to_pylist(),
-                             np.flatnonzero(block == i), np.flatnonzero(block == j), idf)
+        some = tile.column("text").cast(pa.binary()).to_pylist()
+        found = joined_roots(some, tile.column("root").to_pylist(), np.flatnonzero(block == i), np.flatnonzero(block == j),
+                             idf_of(some, tile.column("counts").to_pylist(), n))
         return pa.table({"a": pa.array([a for a, _ in found], pa.binary()),
                          "b": pa.array([b for _, b in found], pa.binary())})
 
-    both = (blocked.drop("total").join(tiles, ["band", "key", "block"]).join(texts.select("node", "text"), "node")
+    both = (blocked.drop("total").join(tiles, ["band", "key", "block"]).join(texts.select("node", "text", "counts"), "node")
             .groupBy("band", "key", "i", "j").applyInArrow(join, "a binary, b binary"))
     return stored(both, "joined")
 
 
-def _links(docs: DataFrame, nodes: DataFrame, idf: Idf, until_settled: bool) -> DataFrame:
+def _links(docs: DataFrame, nodes: DataFrame, n: int, until_settled: bool) -> DataFrame:
     """node, root for the nodes that share a bucket with another one."""
     keyed = nodes.where("best.id IS NOT NULL").select("node", F.col("best.id").alias("id"), "total",
                                                       F.posexplode("bands").alias("band", "key"))
     shared = stored(keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub"))
                     .where("n > 1").drop("n"), "shared")
     members = stored(keyed.join(shared, ["band", "key"]), "members")
-    texts = _texts_of(docs, members.select("id", "node", "total").distinct())
+    linked = nodes.select("node", F.col("best.id").alias("id"), "total", "counts").join(members.select("node").distinct(), "node")
+    texts = _texts_of(docs, linked)
     roots = stored(members.select("node").distinct().withColumn("root", F.col("node")), "roots")
-    links = _compared(_pairs(members), texts, idf).where(F.col("similarity") >= SIMILARITY)
+    links = _compared(_pairs(members), texts, n).where(F.col("similarity") >= SIMILARITY)
     roots = merged(roots, links)
     if not until_settled:
         return roots
     rooted = members.where("node != hub").select("band", "key", "node").join(roots, "node")
     unsettled = (rooted.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
                  .where("low != high").select("band", "key"))
-    return merged(roots, _rest(rooted.join(unsettled, ["band", "key"]), texts, idf))
+    return merged(roots, _rest(rooted.join(unsettled, ["band", "key"]), texts, n))
 
 
 def _classes(docs: DataFrame, until_settled: bool = True) -> tuple[DataFrame, DataFrame]:
     """Stored signatures, and per node the best row of the node and of its class."""
-    idf = shingle_idf(id_and_text(docs))
-    signed = _signatures(docs, idf)
+    signed, n = _signatures(docs)
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row"))
     nodes = stored(signed.groupBy("node").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("copies"),
-                                              F.first("bands").alias("bands"), F.first("total").alias("total")), "nodes")
-    roots = _links(docs, nodes, idf, until_settled)
+                                              F.first("bands").alias("bands"), F.first("total").alias("total"),
+                                              F.first("counts").alias("counts")), "nodes")
+    roots = _links(docs, nodes, n, until_settled)
     rooted = stored(nodes.select("node", "best", "copies").join(roots, "node", "left")
                     .withColumn("root", F.coalesce("root", "node")), "rooted")
     # Stored, so that both sides of the join come from a shuffle and a class of many texts is split.

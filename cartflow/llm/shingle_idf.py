@@ -1,10 +1,9 @@
-"""Inverse document frequency of word shingles, from a table of bounded size.
+"""Inverse document frequency of word shingles, with the exact document count of every shingle.
 
-Only shingles that take up more than a share ``2 * SHARE`` of all (document, shingle) pairs
-differ in weight; all rarer ones are equally rare. There are fewer than ``1 / SHARE`` of the
-former whatever the input, so their exact counts can be broadcast. They are found by
-mergeable Misra-Gries summaries (count a chunk, subtract its share of the pairs, keep what is
-above zero), which miss none of them, and then counted exactly.
+Texts are packed in blocks. Each block asks for the counts of its distinct shingles: their sorted hashes go to as many
+buckets of the hash range as the input needs, every bucket adds up what the blocks have and answers each of them, in the order asked.
+A block joined with its answers knows the count of each shingle of its texts, so nothing is held whole in one
+place: a bucket and a block are of bounded size, and a shingle of every text is one number a block in its bucket.
 """
 
 from __future__ import annotations
@@ -17,20 +16,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartflow.llm.common import blocks, stored
+from cartflow.llm.common import BLOCK_ROWS, blocks, stored
 from cartflow.llm.words import HASH_BITS, WordBlock
 
-SHARE = 1 / 65536
-CHUNK_PAIRS = 1 << 22
-BUCKET_BITS = 6
+# A block of texts, and about as many bytes of text a bucket of shingles answers for.
+BLOCK_BYTES, BUCKET_BYTES = 1 << 21, 1 << 24
 # A shingle that every document has still weighs this much, so that two copies of a text
 # do not drift apart by a changed word because the rest of it is common.
 LEAST_WEIGHT = 0.5
+PACKED = "block long, bytes long, worded long, doc_id array<long>, node array<binary>, row array<long>, text array<string>"
 
 
 @dataclass
 class Idf:
-    """Sorted hashes of the common shingles and their weights; every other shingle weighs 1."""
+    """Sorted hashes of shingles and their weights; every other shingle weighs 1, like one of a single document."""
 
     hashes: np.ndarray
     weights: np.ndarray
@@ -44,100 +43,100 @@ class Idf:
         return out
 
 
-def _counted(h: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    if n is None:
-        return np.unique(h, return_counts=True)
-    order = np.argsort(h, kind="stable")
-    h, n = h[order], n[order]
-    new = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
-    return h[new], (np.add.reduceat(n, new) if len(h) else n)
-
-
-def _summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunk summaries, cut into buckets by the first bits of the hash."""
-    held, size, docs = [], 0, 0
-
-    def flush():
-        h, n = _counted(np.concatenate(held))
-        n = n - int(SHARE * size)
-        h, n = h[n > 0], n[n > 0]
-        bucket = (h >> np.uint64(HASH_BITS - BUCKET_BITS)).astype(np.int64)
-        ids, begin = np.unique(bucket, return_index=True)
-        ends = np.append(begin, len(h)).astype(np.int32)
-        return pa.RecordBatch.from_arrays([
-            pa.array(ids), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.astype(np.int64))),
-            pa.ListArray.from_arrays(pa.array(ends), pa.array(n.astype(np.int64))),
-            pa.array([size] + [0] * (len(ids) - 1)), pa.array([docs] + [0] * (len(ids) - 1))],
-            names=["bucket", "hashes", "counts", "pairs", "docs"])
-
-    for rows, texts in blocks(batches):
-        doc, h, _ = WordBlock(texts).shingle_sets()
-        held.append(h)
-        size += len(h)
-        docs += len(np.unique(doc))
-        if size >= CHUNK_PAIRS:
-            yield flush()
-            held, size, docs = [], 0, 0
-    if size:
-        yield flush()
-
-
-def _merge(at_least: float):
-    """Adds up the summaries of some buckets and gives the shingles whose sum reaches ``at_least``.
-
-    Memory is bounded by lowering all counters when they run out.
-    """
-    most = int(4 / SHARE)
+def weights(counts: np.ndarray, docs: int) -> np.ndarray:
+    """1 for a shingle of one document of ``docs``, ``LEAST_WEIGHT`` for one of all, by the logarithm of the count between."""
+    idf = np.log(docs / counts) / np.log(max(docs, 2))
+    return LEAST_WEIGHT + (1 - LEAST_WEIGHT) * idf
 
+
+def pack(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers, the bytes of equal value side by side, compressed."""
+    if not len(numbers):
+        return b""
+    return pa.compress(np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1).T.tobytes(), "zstd", asbytes=True)
+
+
+def unpack(packed: bytes, n: int, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    flat = pa.decompress(packed, n * size, "zstd", asbytes=True) if n else b""
+    return np.ascontiguousarray(np.frombuffer(flat, np.uint8).reshape(size, n).T).view(kind).ravel()
+
+
+def packed_texts(numbered: DataFrame) -> DataFrame:
+    """The rows of ``numbered`` (doc_id, node, row, text) in stored blocks, with their bytes and number of texts with a word."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h, n = np.empty(0, np.uint64), np.empty(0, np.int64)
+        for rows, texts in blocks(batches, "text", BLOCK_BYTES):
+            one = [pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), c) for c in rows.columns]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([sum(map(len, texts))]), pa.array([len(np.unique(WordBlock(texts).doc))]), *one],
+                names=["bytes", "worded", *rows.schema.names])
+
+    packed = numbered.select("doc_id", "node", "row", "text").mapInArrow(run, PACKED.removeprefix("block long, "))
+    return stored(packed.select(F.monotonically_increasing_id().alias("block"), "*"), "blocks", compression="zstd")
+
+
+def shingle_counts(packed: DataFrame) -> DataFrame:
+    """block, bucket, n and counts: how many documents have each shingle of a block, in the order of the hashes."""
+    size = packed.agg(F.sum("bytes")).first()[0] or 0
+    bits = max(0, int(np.ceil(np.log2(max(size, 1) / BUCKET_BYTES))))
+
+    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                new_h = np.asarray(batch.column(0)[row].values).astype(np.uint64)
-                new_n = np.asarray(batch.column(1)[row].values)
-                h, n = np.concatenate([h, new_h]), np.concatenate([n, new_n])
-                if len(h) > 2 * most:
-                    h, n = _counted(h, n)
-                    if len(h) > most:
-                        n = n - np.partition(n, len(n) - most)[len(n) - most]
-                        h, n = h[n > 0], n[n > 0]
-        h, n = _counted(h, n)
-        yield pa.RecordBatch.from_arrays([pa.array(h[n >= at_least].astype(np.int64))], names=["hash"])
-
-    return run
-
-
-def shingle_idf(texts: DataFrame) -> Idf:
-    """Weights of the shingles of ``texts`` (a column ``text``) by their document frequency."""
-    summaries = stored(texts.select("text").mapInArrow(
-        _summaries, "bucket long, hashes array<long>, counts array<long>, pairs long, docs long"), "summaries")
-    pairs, docs = summaries.agg(F.sum("pairs"), F.sum("docs")).first()
-    if not pairs:
-        return Idf(np.empty(0, np.uint64), np.empty(0))
-    merged = summaries.repartition(1 << BUCKET_BITS, "bucket").select("hashes", "counts").mapInArrow(
-        _merge(SHARE * pairs), "hash long")
-    # Fewer than 1 / SHARE counters can reach this, as they add up to at most ``pairs``.
-    named = merged.collect()
-    candidates = np.sort(np.array([r[0] for r in named], np.int64).astype(np.uint64))
-    if not len(candidates):
-        return Idf(candidates, np.empty(0))
-
-    def recount(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(candidates), np.int64)
-        for _, block in blocks(batches):
-            _, h, _ = WordBlock(block).shingle_sets()
-            at = np.minimum(np.searchsorted(candidates, h), len(candidates) - 1)
-            total += np.bincount(at[candidates[at] == h], minlength=len(candidates))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["at", "n"])
-
-    counted = (texts.select("text").mapInArrow(recount, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
-               .where(F.col("n") >= 2 * SHARE * pairs).collect())
-    at = np.array([r[0] for r in counted], np.int64)
-    n = np.array([r[1] for r in counted], np.float64)
-    order = np.argsort(at)
-    at, n = at[order], n[order]
-    # 1 at the frequency from which shingles are told apart, LEAST_WEIGHT for one in every document.
-    depth = np.log(max(docs / (2 * SHARE * pairs), 1.0 + 1e-9))
-    idf = np.clip(np.log(docs / n) / depth, 0, 1) if len(n) else n
-    return Idf(candidates[at], LEAST_WEIGHT + (1 - LEAST_WEIGHT) * idf)
+            for block, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                _, h, _ = WordBlock(texts.values.cast(pa.binary()).to_pylist()).shingle_sets()
+                h, n = np.unique(h, return_counts=True)
+                ids, begin = np.unique(h >> np.uint64(HASH_BITS - bits), return_index=True)
+                ends = [*begin.tolist()[1:], len(h)]
+                parts = [(h[a:b], n[a:b].astype(np.uint32)) for a, b in zip(begin.tolist(), ends)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([block] * len(ids), pa.int64()), pa.array(ids.astype(np.int64)),
+                    pa.array([len(x) for x, _ in parts], pa.int64()),
+                    pa.array([pack(np.diff(x, prepend=np.uint64(0))) for x, _ in parts], pa.binary()),
+                    pa.array([pack(y) for _, y in parts], pa.binary())], names=["block", "bucket", "n", "hashes", "counts"])
+
+    def answer(asked: pa.Table) -> pa.Table:
+        sizes = asked.column("n").to_pylist()
+        h = np.concatenate([np.cumsum(unpack(x, n, np.uint64), dtype=np.uint64)
+                            for x, n in zip(asked.column("hashes").to_pylist(), sizes)])
+        here = np.concatenate([unpack(x, n, np.uint32) for x, n in zip(asked.column("counts").to_pylist(), sizes)])
+        order = np.argsort(h, kind="stable")
+        new = np.flatnonzero(np.concatenate([[True], h[order[1:]] != h[order[:-1]]]))
+        del h
+        total = np.add.reduceat(here[order].astype(np.int64), new)
+        counts = np.empty(len(order), np.uint32)
+        counts[order] = np.repeat(np.minimum(total, 0xFFFFFFFF).astype(np.uint32), np.diff(np.append(new, len(order))))
+        ends = np.cumsum(sizes).tolist()
+        return asked.select(["block", "bucket", "n"]).append_column(
+            "counts", pa.array([pack(counts[b - n:b]) for b, n in zip(ends, sizes)], pa.binary()))
+
+    asked = packed.select("block", "text").mapInArrow(
+        ask, "block long, bucket long, n long, hashes binary, counts binary")
+    return stored(asked.groupBy("bucket").applyInArrow(answer, "block long, bucket long, n long, counts binary"), "counts")
+
+
+def with_counts(packed: DataFrame) -> DataFrame:
+    """The blocks, each with ``answers``: its shingles' counts by bucket."""
+    answers = shingle_counts(packed).groupBy("block").agg(
+        F.array_sort(F.collect_list(F.struct("bucket", "n", "counts"))).alias("answers"))
+    return packed.join(answers, "block", "left")
+
+
+def counts_of(h: np.ndarray, answers: list[dict] | None) -> np.ndarray:
+    """The count of each shingle of a block's texts from the block's answers."""
+    if not answers:
+        return np.empty(0, np.uint32)
+    known = np.concatenate([unpack(a["counts"], a["n"], np.uint32) for a in answers])
+    _, at = np.unique(h, return_inverse=True)
+    return known[at]
+
+
+def idf_of(texts: list[bytes], counts: list[bytes], docs: int) -> Idf:
+    """The weights of the shingles of ``texts``, of which ``counts`` has the packed counts in the order of their hashes."""
+    found, known = [np.empty(0, np.uint64)], [np.empty(0, np.uint32)]
+    for start in range(0, len(texts), BLOCK_ROWS):
+        doc, h, _ = WordBlock(texts[start:start + BLOCK_ROWS]).shingle_sets()
+        sizes = np.bincount(doc, minlength=min(BLOCK_ROWS, len(texts) - start)).tolist()
+        found.append(h)
+        known += [unpack(c, n, np.uint32) for c, n in zip(counts[start:start + BLOCK_ROWS], sizes)]
+    hashes, first = np.unique(np.concatenate(found), return_index=True)
+    return Idf(hashes, weights(np.concatenate(known)[first], docs))

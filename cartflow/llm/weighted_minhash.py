@@ -24,7 +24,7 @@ class Sampler:
     For element i and sample k, r and c are Gamma(2, 1) and b uniform, all three drawn by a
     hash of (i, k) from a fixed pool. With t = floor(ln w / r + b) the element's value is
     ln a = ln c - r (t - b) - r, and the sample is the element of least value, with its t.
-    For the common weight 1, t is 0 and the value is read from the pool.
+    Where t is 0, as for weight 1 and most near it, the value is read from the pool.
     """
 
     def __init__(self, seed: int = 0):
@@ -50,9 +50,10 @@ class Sampler:
             if len(other):
                 i = at[other]
                 t = np.floor(log_w / self.r[i] + self.b[i])
-                mixed = mix(spread[other] + t.astype(np.int64).astype(np.uint64) * _TIMES)
-                mixed = np.where(t == 0, low[other], mixed & np.uint64(0xFFFFFFFF))
-                value[other] = _ordered(np.log(self.c[i]) - self.r[i] * (t - self.b[i]) - self.r[i]) | mixed
+                moved = np.flatnonzero(t)
+                i, t, on = i[moved], t[moved], other[moved]
+                mixed = mix(spread[on] + t.astype(np.int64).astype(np.uint64) * _TIMES) & np.uint64(0xFFFFFFFF)
+                value[on] = _ordered(np.log(self.c[i]) - self.r[i] * (t - self.b[i]) - self.r[i]) | mixed
             band = k // ROWS
             keys[:, band] = mix(keys[:, band] * _TIMES + np.minimum.reduceat(value, begin) + np.uint64(k))
         return doc[begin], keys

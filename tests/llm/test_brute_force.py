@@ -10,12 +10,14 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cartflow.llm import near_dedup, piece_codec, pii, secret_scan, shingle_idf, toxicity
 from cartflow.llm.common import documents, id_and_text, labels
 from cartflow.llm.queries import QUERIES
 from cartflow.llm.shingle_idf import Idf
+from cartflow.llm.words import WordBlock
 from tests.llm import data
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -61,14 +63,9 @@ def joined_classes(texts: dict, similarity) -> dict:
 def weighted_similarity(n_docs: int, texts: dict):
     """Weighted Jaccard with the operator's weights, from exact document counts."""
     df = Counter(x for t in texts.values() for x in shingles(t))
-    pairs = sum(df.values())
-    floor = 2 * shingle_idf.SHARE * pairs
-    depth = math.log(max(n_docs / floor, 1 + 1e-9))
 
     def weight(x):
-        if df[x] < floor:
-            return 1.0
-        return 0.5 + 0.5 * min(max(math.log(n_docs / df[x]) / depth, 0), 1)
+        return 0.5 + 0.5 * math.log(n_docs / df[x]) / math.log(max(n_docs, 2))
 
     def similarity(a, b):
         shared = sum(weight(x) * min(n, b[x]) for x, n in a.items() if x in b)
@@ -150,11 +147,43 @@ def test_weighted_samples_collide_as_often_as_sets_agree():
     assert abs(np.mean(same) - want ** 4) < 0.06
 
 
-def test_shingle_weights_are_exact(spark, sf_dir, texts):
-    idf: Idf = shingle_idf.shingle_idf(id_and_text(documents(spark, sf_dir)))
+def numbered(docs):
+    return id_and_text(docs).select("doc_id", F.lit(b"").alias("node"), F.col("doc_id").alias("row"), "text")
+
+
+def counted(packed):
+    """doc_id -> the counts of its shingles, in the order of their hashes."""
+    out = {}
+    for r in shingle_idf.with_counts(packed).collect():
+        doc, h, _ = WordBlock([t.encode() for t in r["text"]]).shingle_sets()
+        counts = shingle_idf.counts_of(h, [a.asDict() for a in r["answers"] or []])
+        out.update({d: counts[doc == i].tolist() for i, d in enumerate(r["doc_id"])})
+    return out
+
+
+def test_shingle_weights_are_exact(spark, sf_dir, texts, monkeypatch):
+    """Every shingle has the count of its documents, however blocks and buckets are cut."""
     df = Counter(x for t in texts.values() for x in shingles(t))
-    floor = 2 * shingle_idf.SHARE * sum(df.values())
-    assert len(idf.hashes) == sum(1 for n in df.values() if n >= floor)
+    want = {d: sorted(df[x] for x in shingles(t)) for d, t in texts.items()}
+    for block, bucket in ((shingle_idf.BLOCK_BYTES, shingle_idf.BUCKET_BYTES), (1 << 14, 1 << 12)):
+        monkeypatch.setattr(shingle_idf, "BLOCK_BYTES", block)
+        monkeypatch.setattr(shingle_idf, "BUCKET_BYTES", bucket)
+        packed = shingle_idf.packed_texts(numbered(documents(spark, sf_dir)))
+        assert packed.agg(F.sum("worded")).first()[0] == sum(1 for t in texts.values() if shingles(t))
+        assert {d: sorted(c) for d, c in counted(packed).items()} == want
+
+
+def test_rare_shingles_differ_in_weight(spark):
+    """A shingle of two documents weighs less than one of a single document, and more than one of three."""
+    rows = [(i, " ".join([f"own{i}w{k}" for k in range(6)] + (["both"] * 6 if i < 2 else []) + (["three"] * 6 if 2 < i < 6 else [])))
+            for i in range(3000)]
+    found = counted(shingle_idf.packed_texts(numbered(spark.createDataFrame(rows, "doc_id long, text string"))))
+    assert {1, 2} == set(found[0]) and {1, 3} == set(found[4]) and {1} == set(found[9])
+    one, two, three, everywhere = shingle_idf.weights(np.array([1, 2, 3, 3000]), 3000)
+    assert 1 == one > two > three > everywhere == shingle_idf.LEAST_WEIGHT
+    numbers = np.array([0, 3, 70000], np.uint32)
+    assert shingle_idf.unpack(shingle_idf.pack(numbers), 3, np.uint32).tolist() == numbers.tolist()
+    assert shingle_idf.unpack(shingle_idf.pack(numbers[:0]), 0, np.uint32).tolist() == []
 
 
 def plain_pii(text):
