@@ -25,7 +25,7 @@ from cartflow.llm.pieces import Segments, Vocabulary
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
-_BLOCK = 1 << 21
+_BLOCK = 1 << 20
 
 ENCODED = ("ids array<int>, score double, "
            "n_best array<struct<score: double, edits: array<struct<word: int, ids: array<int>>>>>, round_trip boolean")

@@ -60,7 +60,11 @@ class Vocabulary:
         scores = np.round(scores * (1 << 20)) / (1 << 20)
         self.unknown = float(scores.min() - 10)
         self.longest = max(map(len, points))
-        keys = np.array([_point_hash(np.array(p, np.uint64)) for p in points], np.uint64)
+        keys = np.empty(len(points), np.uint64)
+        sizes = np.fromiter(map(len, points), np.int64, len(points))
+        for size in np.unique(sizes):
+            some = np.flatnonzero(sizes == size)
+            keys[some] = _point_hashes(np.array([points[i] for i in some], np.uint64))
         order = np.argsort(keys)
         self.keys, self.ids, self.scores = keys[order], ids[order], scores[order]
         self.maybe = np.zeros(1 << _FILTER_BITS, bool)
@@ -76,8 +80,9 @@ class Vocabulary:
         return out
 
 
-def _point_hash(points: np.ndarray) -> int:
-    return mix(np.array([(points * _powers(_BASE, len(points))).sum(dtype=np.uint64)]) + np.uint64(len(points)))[0]
+def _point_hashes(points: np.ndarray) -> np.ndarray:
+    """The hash of each row of code points."""
+    return mix((points * _powers(_BASE, points.shape[1])).sum(1, dtype=np.uint64) + np.uint64(points.shape[1]))
 
 
 class _Sums:
@@ -148,7 +153,9 @@ class Segments:
     def _sweep(self, edges: np.ndarray, at: np.ndarray, other: np.ndarray, step: np.ndarray,
                value: np.ndarray, best: np.ndarray | None) -> None:
         """value[at] = max over edges of value[other] + score, node by node in the order of ``step``."""
-        order = edges[np.lexsort((edges, at[edges], step[edges]))]
+        # By step, node and edge: ``edges`` ascend and come in sorted runs, one a width, and steps are at most ``_LONG``.
+        order = edges[np.argsort(at[edges], kind="stable")]
+        order = order[np.argsort(step[order].astype(np.uint8), kind="stable")]
         target, levels = at[order], step[order]
         new = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]])) if len(order) else []
         lead = np.searchsorted(levels[new], np.arange(1, (levels[-1] if len(order) else 0) + 2)) if len(order) else [0]
