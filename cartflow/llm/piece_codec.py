@@ -56,7 +56,7 @@ def encode(docs: DataFrame, model: bytes | None = None, n: int = N_BEST, keep: l
     rows = docs.select(*keep, text_or_empty().alias(text))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(model)
+        vocabulary = Vocabulary.of(model)
         for batch, raw in blocks(batches, text, _BLOCK):
             texts = [t.decode() for t in raw]
             words = Segments(vocabulary, texts)
@@ -80,7 +80,7 @@ def encode(docs: DataFrame, model: bytes | None = None, n: int = N_BEST, keep: l
 
 def decode(encoded: DataFrame, model: bytes | None = None, ids: str = "ids", text: str = "text") -> DataFrame:
     """The columns of ``encoded`` other than ``ids``, and the decoded text; null ids give null."""
-    bytes_of = Vocabulary(model or model_bytes()).bytes_of
+    bytes_of = Vocabulary.of(model or model_bytes()).bytes_of
     kept = [c for c in encoded.columns if c != ids]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
