@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartflow.llm.common import blocks, fresh, id_and_text, stored, text_or_empty
+from cartflow.llm.common import blocks, fresh, id_and_text, small_batches, stored, text_or_empty
 from cartflow.llm.components import merged
 from cartflow.llm.shingle_idf import Idf, counts_of, idf_of, pack, packed_texts, weights, with_counts
 from cartflow.llm.weighted_minhash import Sampler
@@ -244,7 +244,8 @@ def _classes(docs: DataFrame, until_settled: bool = True) -> tuple[DataFrame, Da
 
 def near_duplicates(docs: DataFrame, until_settled: bool = True) -> DataFrame:
     """One row per document: doc_id, class_id (least id of its class), class_size and kept."""
-    signed, classes = _classes(docs, until_settled)
+    with small_batches(docs.sparkSession):
+        signed, classes = _classes(docs, until_settled)
     return signed.select("doc_id", "row", "node").join(classes, "node").select(
         "doc_id", F.col("class_best.id").alias("class_id"), "class_size",
         (F.col("row") == F.col("class_best.row")).alias("kept"))
@@ -252,7 +253,8 @@ def near_duplicates(docs: DataFrame, until_settled: bool = True) -> DataFrame:
 
 def without_near_duplicates(docs: DataFrame, until_settled: bool = True) -> DataFrame:
     """The rows of ``docs``, all columns, one of each class (that with the least id)."""
-    _, classes = _classes(docs, until_settled)
+    with small_batches(docs.sparkSession):
+        _, classes = _classes(docs, until_settled)
     node, rank, best = fresh(docs, "node"), fresh(docs, "rank"), fresh(docs, "best")
     winners = classes.where("best.row = class_best.row").select(F.col("node").alias(node), F.col("best.id").alias(best))
     doc_id = F.col("doc_id").cast("long")

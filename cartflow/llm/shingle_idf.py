@@ -21,6 +21,8 @@ from cartflow.llm.words import HASH_BITS, WordBlock
 
 # A block of texts, and about as many bytes of text a bucket of shingles answers for.
 BLOCK_BYTES, BUCKET_BYTES = 1 << 21, 1 << 24
+# Blocks of a row group of the stored blocks: Spark decodes a row group's texts at once, and bounds it by its compressed bytes.
+BLOCKS_OF_ROW_GROUP = 8
 # A shingle that every document has still weighs this much, so that two copies of a text
 # do not drift apart by a changed word because the rest of it is common.
 LEAST_WEIGHT = 0.5
@@ -72,7 +74,25 @@ def packed_texts(numbered: DataFrame) -> DataFrame:
                 names=["bytes", "worded", *rows.schema.names])
 
     packed = numbered.select("doc_id", "node", "row", "text").mapInArrow(run, PACKED.removeprefix("block long, "))
-    return stored(packed.select(F.monotonically_increasing_id().alias("block"), "*"), "blocks", compression="zstd")
+    return stored(packed.select(F.monotonically_increasing_id().alias("block"), "*"), "blocks", compression="zstd",
+                  **{"parquet.block.row.count.limit": str(BLOCKS_OF_ROW_GROUP)})
+
+
+def _totals(h: np.ndarray, here: np.ndarray) -> np.ndarray:
+    """For each entry the sum of ``here`` over the entries of equal ``h``, 2^32 - 1 at most."""
+    order = np.argsort(h, kind="stable").astype(np.uint32 if len(h) < 1 << 32 else np.int64)
+    one = h[order]
+    first = np.ones(len(one), bool)
+    np.not_equal(one[1:], one[:-1], out=first[1:])
+    del one
+    new = np.flatnonzero(first)
+    total = np.minimum(np.add.reduceat(here[order], new, dtype=np.int64), 0xFFFFFFFF).astype(np.uint32)
+    del new
+    counts = np.empty(len(order), np.uint32)
+    number = np.cumsum(first, dtype=np.uint32 if len(h) < 1 << 32 else np.int64)
+    number -= 1
+    counts[order] = total[number]
+    return counts
 
 
 def shingle_counts(packed: DataFrame) -> DataFrame:
@@ -96,15 +116,13 @@ def shingle_counts(packed: DataFrame) -> DataFrame:
 
     def answer(asked: pa.Table) -> pa.Table:
         sizes = asked.column("n").to_pylist()
-        h = np.concatenate([np.cumsum(unpack(x, n, np.uint64), dtype=np.uint64)
-                            for x, n in zip(asked.column("hashes").to_pylist(), sizes)])
-        here = np.concatenate([unpack(x, n, np.uint32) for x, n in zip(asked.column("counts").to_pylist(), sizes)])
-        order = np.argsort(h, kind="stable")
-        new = np.flatnonzero(np.concatenate([[True], h[order[1:]] != h[order[:-1]]]))
-        del h
-        total = np.add.reduceat(here[order].astype(np.int64), new)
-        counts = np.empty(len(order), np.uint32)
-        counts[order] = np.repeat(np.minimum(total, 0xFFFFFFFF).astype(np.uint32), np.diff(np.append(new, len(order))))
+        h, here = np.empty(sum(sizes), np.uint64), np.empty(sum(sizes), np.uint32)
+        at = 0
+        for n, x, y in zip(sizes, asked.column("hashes"), asked.column("counts")):
+            np.cumsum(unpack(x.as_py(), n, np.uint64), out=h[at:at + n])
+            here[at:at + n] = unpack(y.as_py(), n, np.uint32)
+            at += n
+        counts = _totals(h, here)
         ends = np.cumsum(sizes).tolist()
         return asked.select(["block", "bucket", "n"]).append_column(
             "counts", pa.array([pack(counts[b - n:b]) for b, n in zip(ends, sizes)], pa.binary()))
